@@ -199,8 +199,11 @@ SELECT time_bucket(INTERVAL '5 minutes', ingested_at) AS window_start,
        count(*) FILTER (WHERE status = 200) AS delivered
 FROM judged GROUP BY 1, 2"""
 
+DAY_FOLDERS = """strftime(ingested_at, '%Y') AS year, strftime(ingested_at, '%m') AS month,
+    strftime(ingested_at, '%d') AS day, '00' AS hour"""
+
 LANDED = f"""
-SELECT {PARTITIONS}, event_type, count(*) AS events, round(sum(price), 2) AS price_sum,
+SELECT {DAY_FOLDERS}, event_type, count(*) AS events, round(sum(price), 2) AS price_sum,
        count(*) FILTER (WHERE form <> 18) AS dated,
        count(DISTINCT platform) AS platforms
 FROM judged WHERE status = 200 GROUP BY ALL"""
@@ -280,9 +283,9 @@ EVENT_QUERIES = {
         for device in ("mobile", "tablet", "kiosk", "web")
     )
     + " FROM clickstream GROUP BY restaurant_id",
-    "device_daily_trend": """SELECT event_date, device_type, count(event_id) AS event_count
+    "device_daily_trend": """SELECT CAST(event_date AS VARCHAR) AS event_date, device_type, count(event_id) AS event_count
         FROM clickstream GROUP BY event_date, device_type""",
-    "category_daily_views": """SELECT event_date, category, count(*) AS views FROM clickstream
+    "category_daily_views": """SELECT CAST(event_date AS VARCHAR) AS event_date, category, count(*) AS views FROM clickstream
         WHERE event_type = 'view' GROUP BY event_date, category""",
     "hourly_profile": """SELECT CAST(hour(event_ts) AS INTEGER) AS hour_of_day,
         count(*) AS event_count FROM clickstream GROUP BY 1""",
@@ -369,7 +372,7 @@ PAYLOAD_QUERIES = {
         UNION ALL SELECT 'ingested_at', count(*), 'added' FROM judged WHERE form = 16""",
     "landed_json": LANDED,
     "landed_parquet": LANDED,
-    "landed_rejects": f"""SELECT {PARTITIONS}, error_type, field, count(*) AS rejected
+    "landed_rejects": f"""SELECT {DAY_FOLDERS}, error_type, field, count(*) AS rejected
         FROM judged WHERE status = 400 GROUP BY ALL""",
     "stream_ingest": """
         SELECT event_type, count(*) AS events, round(sum(price), 2) AS price_sum,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plateflow.functions.once import with_columns_once
 from plateflow.functions.temporal import arrival_columns
 from plateflow.schema import ARRIVAL_PARTITIONS, CATEGORIES, EVENT_COLUMNS
 
@@ -73,9 +74,8 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event table rows: those of ``events`` whose derived type and price are valid."""
     rows = base_events(spark, sf_dir).filter("event_type <> 'error' AND price > 0")
     rows = rows.withColumn("extra", F.to_variant_object(F.struct("platform")))
-    return rows.withColumns(arrival_columns(F.col("ingested_at"))).select(
-        *EVENT_COLUMNS, *ARRIVAL_PARTITIONS
-    )
+    rows = with_columns_once(rows, arrival_columns(F.col("ingested_at")))
+    return rows.select(*EVENT_COLUMNS, *ARRIVAL_PARTITIONS)
 
 
 def _json(row: Column, nulls: bool = False) -> Column:
@@ -110,7 +110,9 @@ def payload_lines(base: DataFrame) -> DataFrame:
         field("device_type", {7: nothing, 11: F.lit("watch"), 12: F.lit("watch")}),
         F.col("platform"),
     )
-    text = F.when(form == 8, _json(event, nulls=True)).otherwise(_json(event))
+    written = F.when(form == 8, _json(event, nulls=True)).otherwise(_json(event))
+    base = with_columns_once(base, {"_text": written})
+    text = F.col("_text")
 
     def with_price(literal: Column) -> Column:
         return F.regexp_replace(text, F.lit(r'"price":[-0-9.Ee]+'), F.concat(F.lit('"price":'), literal))

@@ -1,0 +1,69 @@
+import pytest
+from pyspark.sql import functions as F
+
+from builders import at, event_frame
+from plateflow.plans.registry import CORE_REPORTS, REPORTS
+from plateflow.plans.suite import (
+    fetch,
+    refresh_report_tables,
+    register_report_view,
+    run_reports,
+    write_report,
+)
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return event_frame(spark, [{"timestamp": at("2024-03-01", n % 24)} for n in range(50)]).persist()
+
+
+def test_core_suite_runs_together(spark, events):
+    results = run_reports(spark, events, as_of="2024-03-01")
+    assert [r.name for r in results] == list(CORE_REPORTS)
+    assert all(r.status == "SUCCEEDED" and r.rows for r in results)
+
+
+def test_one_failure_leaves_the_others(spark, events):
+    def broken(frame, as_of):
+        return frame.select(F.raise_error(F.lit("broken report")).alias("x"))
+
+    reports = {**REPORTS, "broken": broken}
+    results = run_reports(
+        spark, events, ["broken", "events_by_device"], "2024-03-01", reports=reports
+    )
+    assert results[0].status == "FAILED" and "broken report" in results[0].error
+    assert results[1].rows == [["mobile", "50"]]
+
+
+def test_slow_report_is_stopped(spark, events):
+    def slow(frame, as_of):
+        busy = spark.range(10**13).select(F.sum(F.hash("id").cast("bigint")).alias("x"))
+        return busy
+
+    results = run_reports(spark, events, ["slow"], "2024-03-01", max_wait=3, reports={"slow": slow})
+    assert results[0].status == "TIMEOUT"
+
+
+def test_unknown_name_is_refused(spark, events):
+    with pytest.raises(ValueError):
+        run_reports(spark, events, ["nothing"])
+
+
+def test_fetch_shows_null_as_empty_and_is_bounded(spark):
+    frame = spark.range(100).select(F.lit(None).cast("string").alias("a"), F.lit(1).alias("b"))
+    columns, rows = fetch(frame)
+    assert columns == ["a", "b"] and len(rows) == 30 and rows[0] == ["", "1"]
+
+
+def test_tables_are_replaced(spark, events, tmp_path):
+    out = str(tmp_path)
+    for _ in range(2):
+        results = refresh_report_tables(spark, events, out, ["events_by_device"], "2024-03-01")
+    assert spark.read.parquet(results[0].rows[0][0]).count() == 1
+    assert write_report(spark.range(3), "x", out + "/") == f"{out}/x"
+
+
+def test_report_as_relation(spark, events):
+    register_report_view(REPORTS["hourly_trends"](events, "2024-03-01"), "hourly_view")
+    total = spark.sql("SELECT sum(event_count) AS n FROM hourly_view").first()["n"]
+    assert total == 50

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plateflow.operators.windows import as_date
 from plateflow.plans.registry import CORE_REPORTS, REPORTS
+from plateflow.sources.guard import guard_scan
 
 # Rows shown per report and seconds a report may take.
 FETCH_ROWS = 30
@@ -58,7 +59,7 @@ def register_report_view(df: DataFrame, name: str) -> DataFrame:
 def _stop(spark: SparkSession, tag: str, future: Future) -> ReportResult:
     """Cancel the jobs of a tag until their report ends; one may still be about to start a job."""
     while True:
-        spark.interruptTag(tag)
+        spark.sparkContext.cancelJobsWithTag(tag)
         try:
             return future.result(timeout=0.5)
         except WaitTimeout:
@@ -81,7 +82,7 @@ def _run_together(
     def one(name: str) -> ReportResult:
         title = CORE_REPORTS.get(name, name)
         started = monotonic()
-        spark.addTag(f"{run}-{name}")
+        spark.sparkContext.addJobTag(f"{run}-{name}")
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         try:
             columns, rows = work(name)
@@ -89,7 +90,7 @@ def _run_together(
         except Exception as problem:
             result = ReportResult(name, title, FAILED, error=str(problem))
         finally:
-            spark.removeTag(f"{run}-{name}")
+            spark.sparkContext.removeJobTag(f"{run}-{name}")
         result.seconds = monotonic() - started
         return result
 
@@ -120,10 +121,12 @@ def run_reports(
     max_rows: int = FETCH_ROWS,
     max_wait: float = MAX_WAIT_SECONDS,
     reports: dict[str, Callable[..., DataFrame]] | None = None,
+    max_bytes: int | None = None,
 ) -> list[ReportResult]:
     """Run reports at the same time and return the first rows of each.
 
-    One report's failure does not affect the others.  Without names the core suite runs.
+    One report's failure does not affect the others.  Without names the core suite runs.  With
+    ``max_bytes`` a report over a catalog table fails before it starts if its files are larger.
     """
     day = as_date(as_of)
     known = REPORTS if reports is None else reports
@@ -133,7 +136,10 @@ def run_reports(
         raise ValueError(f"unknown reports: {', '.join(unknown)}")
 
     def work(name: str) -> tuple[list[str], list[list[str]]]:
-        return fetch(known[name](events, day), max_rows)
+        result = known[name](events, day)
+        if max_bytes is not None:
+            guard_scan(result, max_bytes)
+        return fetch(result, max_rows)
 
     return _run_together(spark, chosen, work, max_wait)
 

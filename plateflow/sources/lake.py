@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plateflow.functions.json_text import members_except, number_of, object_fields, variant_text
+from plateflow.functions.json_text import (
+    members_except,
+    number_of,
+    object_fields,
+    variant_text,
+    with_parsed_json,
+)
 from plateflow.functions.temporal import parse_iso_timestamp
 from plateflow.operators.enrichment import event_records, quarantine_records
 from plateflow.schema import (
@@ -30,14 +36,8 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _land(records: DataFrame, path: str, partitions: list[str], file_format: str) -> None:
-    """Write one row set, sized by adaptive execution.
-
-    ``rebalance`` gathers rows of a folder into few files and splits a folder that is much larger
-    than the others over several tasks.
-    """
     writer = (
-        records.hint("rebalance", *partitions)
-        .write.format(file_format)
+        records.write.format(file_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", COMPRESSION[file_format])
@@ -48,12 +48,27 @@ def _land(records: DataFrame, path: str, partitions: list[str], file_format: str
     writer.save(path)
 
 
+def _gathered(records: DataFrame, partitions: list[str]) -> DataFrame:
+    """Rows of a folder together, so that it gets few files.  Adaptive execution splits a folder
+    that is much larger than the others over several tasks."""
+    return records.hint("rebalance", *partitions)
+
+
 def land_events(
-    validated: DataFrame, path: str, write_key: str = "0", file_format: str = DEFAULT_FORMAT
+    validated: DataFrame,
+    path: str,
+    write_key: str = "0",
+    file_format: str = DEFAULT_FORMAT,
+    one_hour: bool = False,
 ) -> None:
-    """Write the accepted rows of enriched, validated payloads below ``path``."""
+    """Write the accepted rows of enriched, validated payloads below ``path``.
+
+    Rows of ``one_hour`` all go to one folder and are written where they are, without a shuffle;
+    rows of many hours are gathered by folder first.
+    """
+    partitions = [*ARRIVAL_PARTITIONS, WRITE_KEY]
     keyed = event_records(validated).withColumn(WRITE_KEY, F.lit(str(write_key)))
-    _land(keyed, path, [*ARRIVAL_PARTITIONS, WRITE_KEY], file_format)
+    _land(keyed if one_hour else _gathered(keyed, partitions), path, partitions, file_format)
 
 
 def land_rejects(
@@ -61,7 +76,8 @@ def land_rejects(
 ) -> None:
     """Write the rejected rows below ``path``, with the error type as a further folder level."""
     keyed = quarantine_records(validated).withColumn(WRITE_KEY, F.lit(str(write_key)))
-    _land(keyed, path, [*ARRIVAL_PARTITIONS, "error_type", WRITE_KEY], file_format)
+    partitions = [*ARRIVAL_PARTITIONS, "error_type", WRITE_KEY]
+    _land(_gathered(keyed, partitions), path, partitions, file_format)
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, file_format: str) -> DataFrame:
@@ -99,12 +115,8 @@ def read_flat_events(spark: SparkSession, path: str) -> DataFrame:
     """
     names = REQUIRED_FIELDS + SERVER_FIELDS
     partitions = [T.StructField(name, T.StringType()) for name in ARRIVAL_PARTITIONS]
-    lines = (
-        spark.read.format("json")
-        .schema(T.StructType([T.StructField("payload", T.VariantType()), *partitions]))
-        .option("singleVariantColumn", "payload")
-        .load(path)
-    )
+    schema = T.StructType([T.StructField("value", T.StringType()), *partitions])
+    lines = with_parsed_json(spark.read.schema(schema).text(path), "payload", F.col("value"))
     members = lines.withColumn("_members", object_fields(F.col("payload"), names))
     typed = members.withColumns(
         {

@@ -78,11 +78,11 @@ def landed_ids(target: IngestTarget, batch: DataFrame, hours: int) -> DataFrame
     return lake.filter(folder.between(span[0], span[1])).select("event_id", WRITE_KEY)
 
 
-def land_batch(target: IngestTarget, dedup_hours: int | None = None):
+def land_batch(target: IngestTarget, dedup_hours: int | None = None, one_hour: bool = True):
     """The ``foreachBatch`` function: both sinks from one evaluation of the batch.
 
     Every folder written carries the batch id, so running a batch again after a failure replaces
-    exactly what the first attempt wrote.
+    exactly what the first attempt wrote.  Rows stamped by the batch time share one hour.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -92,7 +92,7 @@ def land_batch(target: IngestTarget, dedup_hours: int | None = None):
             rows = judged
             if dedup_hours is not None:
                 rows = drop_repeated_ids(judged, landed_ids(target, judged, dedup_hours), key)
-            land_events(rows, target.events, key, target.file_format)
+            land_events(rows, target.events, key, target.file_format, one_hour)
             land_rejects(judged, target.quarantine, key, target.file_format)
             if target.table is not None:
                 hours = accepted_events(rows).select(*ARRIVAL_PARTITIONS).distinct().collect()
@@ -125,7 +125,7 @@ def start_ingest(
         judged_stream(payloads, now)
         .writeStream.queryName("plateflow-ingest")
         .option("checkpointLocation", target.checkpoint)
-        .foreachBatch(land_batch(target, dedup_hours))
+        .foreachBatch(land_batch(target, dedup_hours, one_hour=now is None))
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()

@@ -11,6 +11,7 @@ from plateflow.operators.validation import validate_events
 from plateflow.operators.windows import arrival_window
 from plateflow.plans.categories import category_analysis
 from plateflow.plans.items import popular_items
+from plateflow.plans.suite import run_reports
 from plateflow.schema import ARRIVAL_PARTITIONS
 from plateflow.sources.catalog import (
     create_event_table,
@@ -165,6 +166,14 @@ def test_scan_guard(spark, tmp_path):
     with pytest.raises(ScanLimitExceeded):
         guard_scan(recent, 10)
     assert check_scan(10, 10) == 10
+    table = read_event_table(spark, "guarded_events")
+    names = ["popular_items"]
+    refused = run_reports(spark, table, names, "2024-03-05", max_bytes=10)[0]
+    assert refused.status == "FAILED" and "limit is 10" in refused.error
+    within = run_reports(spark, table, names, "2024-03-05", max_bytes=sum(sizes))
+    assert within[0].status == "SUCCEEDED"
+    recent_only = run_reports(spark, table, names, "2020-01-01", max_bytes=10)
+    assert recent_only[0].rows == []
 
 
 def test_drift(spark, tmp_path):

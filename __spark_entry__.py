@@ -33,6 +33,14 @@ from plateflow.sources.scratch import scratch_folder
 from plateflow.streaming.ingest import IngestTarget, start_ingest
 from plateflow.streaming.metrics import start_metric
 
+try:
+    import corpus_pipeline
+    from plateflow.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "plateflow.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The test data has few rejects per five minutes.
@@ -193,9 +201,16 @@ def queries() -> dict[str, Query]:
         "stream_ingest": _stream_ingest,
         "stream_rejects": _stream_rejects,
         "stream_ingest_rate": _stream_ingest_rate,
+        **(llm_queries.QUERIES if llm_queries else {}),
+        **({"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The SQL twin of each query."""
-    return oracle_queries.statements()
+    twins = oracle_queries.statements()
+    if llm_queries:
+        twins |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            twins["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return twins

@@ -10,6 +10,14 @@ from pyspark.sql import SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the folder's file system delete it when this driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
@@ -19,7 +27,9 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         CHECKPOINT_SETTING, None
     )
     if shared:
-        return f"{shared.rstrip('/')}/plateflow/{name}-{uuid.uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/plateflow/{name}-{uuid.uuid4().hex}"
+        _delete_at_exit(spark, folder)
+        return folder
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"plateflow-{name}-")
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")

@@ -7,8 +7,13 @@ import pytest
 
 import __spark_entry__ as registry
 
-QUERIES = registry.queries()
-STATEMENTS = registry.oracle_sql()
+CORPUS_QUERIES = registry.llm_queries.QUERIES if registry.llm_queries else {}
+QUERIES = {
+    name: query
+    for name, query in registry.queries().items()
+    if name != "pipeline" and name not in CORPUS_QUERIES
+}
+STATEMENTS = {name: sql for name, sql in registry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

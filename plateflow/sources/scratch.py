@@ -29,7 +29,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     if shared:
         folder = f"{shared.rstrip('/')}/plateflow/{name}-{uuid.uuid4().hex}"
         _delete_at_exit(spark, folder)
-        return folder
+        return f"{folder}/data"
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"plateflow-{name}-")
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")

@@ -15,3 +15,10 @@
 
 ``queries`` registers one query per operator.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel with their tasks, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

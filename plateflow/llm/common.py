@@ -45,3 +45,10 @@ def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
 def scan(spark, sf_dir: str, table: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def row_digest(df: DataFrame) -> Column:
+    """128 bits of all columns of a row."""
+    return F.struct(
+        F.xxhash64(*df.columns).alias("high"), F.xxhash64(F.lit("low"), *df.columns).alias("low")
+    )

@@ -4,16 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import quality_rules
-from plateflow.llm.common import scan
+from plateflow.llm import decontamination, quality_rules, sharding, simhash_dedup, source_mixing
+from plateflow.llm.common import materialise, scan
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(scan(spark, sf_dir, "documents"), "doc_id")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(
+        scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_manifest(scan(spark, sf_dir, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix as documents and passes; their texts stay where they are."""
+    docs = scan(spark, sf_dir, "documents")
+    counted = docs.select("doc_id", "source", source_mixing.token_count(docs["text"]).alias("n_words"))
+    rows = materialise(counted, "document-words")
+    return source_mixing.mix(rows, tokens=rows["n_words"]).drop("n_words")
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicate_groups(scan(spark, sf_dir, "documents"))
+
+
 QUERIES = {
-    "op1_quality_rules": op1_quality_rules,
+    query.__name__: query
+    for query in (
+        op1_quality_rules,
+        op2_benchmark_decontamination,
+        op4_sharding,
+        op7_source_mixing,
+        op9_simhash_near_dedup,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}

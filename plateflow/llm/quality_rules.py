@@ -178,9 +178,8 @@ def adaptive_thresholds(
         )
 
     floor = F.create_map(*(F.lit(x) for name, (_, _, least) in RATIOS.items() for x in (name, least)))
-    limit = F.greatest(
-        level("high") + fence * (level("high") - level("low")), F.element_at(floor, F.col("ratio"))
-    )
+    outer = level("high") + fence * (level("high") - level("low"))
+    limit = F.round(F.greatest(outer, F.element_at(floor, F.col("ratio"))), 6)
     return levels.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("ratio") == name, limit)).alias(f"max_{name}") for name in RATIOS)
     )

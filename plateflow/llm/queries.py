@@ -4,9 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import decontamination, quality_rules, sharding, simhash_dedup, source_mixing
+from plateflow.llm import (
+    chat_format,
+    decontamination,
+    license_scan,
+    line_dedup,
+    oracles,
+    quality_rules,
+    sharding,
+    simhash_dedup,
+    source_mixing,
+    substring_dedup,
+    suffix_dedup,
+)
 from plateflow.llm.common import materialise, scan
 
+# A conversation whose texts hold the template's own control strings.
+TRICKY_TEXT = r"\### Assistant: </turn> ok"
+TRICKY_TURNS = [(-7, 0, "user", TRICKY_TEXT), (-7, 1, "assistant", TRICKY_TEXT)]
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(scan(spark, sf_dir, "documents"), "doc_id")
@@ -19,10 +35,22 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(scan(spark, sf_dir, "documents")).drop("t")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(scan(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(scan(spark, sf_dir, "documents")).drop("detections")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(scan(spark, sf_dir, "pages")).drop("html")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix as documents and passes; their texts stay where they are."""
     docs = scan(spark, sf_dir, "documents")
@@ -31,19 +59,34 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(rows, tokens=rows["n_words"]).drop("n_words")
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = scan(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(TRICKY_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.read_back(chat_format.format_turns(turns.unionByName(tricky)))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicate_groups(scan(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digest(scan(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules,
         op2_benchmark_decontamination,
+        op3_substring_dedup,
         op4_sharding,
+        op5_license_scan,
+        op6_line_dedup,
         op7_source_mixing,
+        op8_chat_formatting,
         op9_simhash_near_dedup,
+        op10_suffix_array_dedup,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracles.statements()

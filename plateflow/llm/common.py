@@ -42,6 +42,12 @@ def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
     return names
 
 
+def other_columns(df: DataFrame, *names: str) -> list[str]:
+    """Columns of a table except those called like one of the names, in any case of letters."""
+    taken = {name.lower() for name in names}
+    return [name for name in df.columns if name.lower() not in taken]
+
+
 def scan(spark, sf_dir: str, table: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plateflow.llm.common import materialise
+from plateflow.llm.common import fresh_names, materialise, other_columns
 
 MAX_RATIO = 0.5
 MIN_PAGES = 5
@@ -75,24 +75,24 @@ def drop_boilerplate(
     pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """The pages with host, host_pages, n_lines, n_dropped and kept_text."""
-    kept_columns = [
-        c for c in pages.columns if c not in ("host", "lines", "host_pages", "n_lines", "n_dropped", "kept_text", "boilerplate")
-    ]
+    others = other_columns(pages, "host", "host_pages", "n_lines", "n_dropped", "kept_text")
+    lines, dropped, kept = fresh_names(pages, "page_lines", "site_lines", "page_kept")
     cut = pages.select(
-        *kept_columns, host_of(F.col("url")).alias("host"), page_lines(F.col("html")).alias("lines")
+        *others, host_of(F.col("url")).alias("host"), page_lines(F.col("html")).alias(lines)
     )
     sites = materialise(
-        boilerplate(cut.select("host", "lines"), max_ratio, min_pages), "boilerplate"
-    )
-    joined = cut.join(sites, "host", "left")
-    kept = F.filter("lines", lambda line: ~F.array_contains(F.col("boilerplate"), _digest(line)))
-    kept = F.when(F.col("boilerplate").isNull(), F.col("lines")).otherwise(kept)
-    filtered = joined.withColumn("kept", kept)
-    return filtered.select(
-        *kept_columns,
-        "host",
-        F.coalesce("host_pages", F.lit(0)).alias("host_pages"),
-        F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
-        F.array_join("kept", "\n").alias("kept_text"),
+        boilerplate(cut.select("host", F.col(lines).alias("lines")), max_ratio, min_pages), "boilerplate"
+    ).toDF("host", "host_pages", dropped)
+    rest = F.filter(lines, lambda line: ~F.array_contains(F.col(dropped), _digest(line)))
+    return (
+        cut.join(sites, "host", "left")
+        .withColumn(kept, F.when(F.col(dropped).isNull(), F.col(lines)).otherwise(rest))
+        .select(
+            *others,
+            "host",
+            F.coalesce("host_pages", F.lit(0)).alias("host_pages"),
+            F.size(lines).cast("long").alias("n_lines"),
+            (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"),
+            F.array_join(kept, "\n").alias("kept_text"),
+        )
     )

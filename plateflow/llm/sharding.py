@@ -12,7 +12,8 @@ have at most ``shards * parts`` rows, so they are broadcast.
 
 Defined results: a null key is a key like any other.  A null text has no bytes, so its size is 1 and
 its checksum that of the empty text.  Rows with the same key share a shard and get slots of their own.
-An empty table gives an empty result.  Other columns are kept by ``assign_shards``.
+An empty table gives an empty result.  Other columns are kept by ``assign_shards``; those called like a
+result column are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plateflow.llm.common import fresh_names
+from plateflow.llm.common import fresh_names, other_columns
 
 SHARDS = 16
 PARTS = 256
@@ -68,8 +69,9 @@ def assign_shards(
     """
     shard, slot = names
     part, digest, start = fresh_names(docs, "shard_part", "shard_digest", "shard_start")
-    placed = docs.withColumns(
-        {shard: shard_of(F.col(key), shards), digest: F.xxhash64(*docs.columns)}
+    kept = other_columns(docs, shard, slot)
+    placed = docs.select(
+        *kept, shard_of(F.col(key), shards).alias(shard), F.xxhash64(*docs.columns).alias(digest)
     ).withColumn(part, F.pmod(F.xxhash64(key, digest), F.lit(parts)).cast("int"))
     cells = placed.groupBy(shard, part).agg(F.count("*").alias(start))
     before = Window.partitionBy(shard).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
@@ -81,7 +83,7 @@ def assign_shards(
         placed.withColumn(slot, (F.row_number().over(within) - 1).cast("long"))
         .join(F.broadcast(starts), [shard, part])
         .withColumn(slot, F.col(slot) + F.col(start))
-        .select(*docs.columns, shard, slot)
+        .select(*kept, shard, slot)
     )
 
 

@@ -20,7 +20,8 @@ document is left out.
 
 Defined results: null and empty sources are one source.  A document's tokens are its words, at least
 one, so documents without text take part.  Repeated rows are dealt like others.  An empty table gives
-an empty result.  Other columns are kept by ``mix``.
+an empty result.  Other columns are kept by ``mix``; those called like a
+result column are replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plateflow.llm.common import SPACES, fresh_names, materialise, row_digest
+from plateflow.llm.common import SPACES, fresh_names, materialise, other_columns, row_digest
 
 MAX_REPEATS = 2.0
 STEPS = 40
@@ -160,14 +161,14 @@ def mix(
         .withColumn("full_passes", F.floor(F.col("target") / F.col("tokens"))),
         "mix-plan",
     )
-    taken = _taken(rows, plan, seed)
-    repeated = keyed.join(taken, keyed[digest] == taken["digest"])
-    return repeated.select(
-        *docs.columns,
-        F.col("at").alias(pass_no),
-        F.col("in_block").alias(block),
-        F.col("tokens").alias(n_tokens),
-        F.col("share_of_mix").alias(weight),
+    at, in_block, counted, share = fresh_names(keyed, "mix_pass", "mix_block", "mix_tokens", "mix_share")
+    taken = _taken(rows, plan, seed).toDF(digest, at, in_block, counted, share)
+    return keyed.join(taken, digest).select(
+        *other_columns(docs, *names),
+        F.col(at).alias(pass_no),
+        F.col(in_block).alias(block),
+        F.col(counted).alias(n_tokens),
+        F.col(share).alias(weight),
     )
 
 

@@ -1,0 +1,75 @@
+import re
+from collections import Counter
+
+from plateflow.llm.quality_rules import base_counts, keep_good, quality_verdicts
+
+
+def counted(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    seen = Counter(windows)
+    covered = {k + j for k, window in enumerate(windows) if seen[window] > 1 for j in range(5)}
+    lines = [line for line in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text or "")),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+TEXTS = [
+    None,
+    "",
+    " \t\n",
+    "\na\n a\na\n",
+    "a b c d e a b c d e f",
+    "a a a a a a a",
+    "x # <b> | y&z $5 100%",
+    "one\x0btwo\x0cthree\rfour",
+    "non breaking space",
+    "p q r s t u " * 40,
+]
+
+
+def test_base_counts_match_a_plain_count(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "k int, text string")
+    for row in base_counts(docs, "k").collect():
+        got = (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words)
+        assert got == counted(TEXTS[row.k]), TEXTS[row.k]
+
+
+def prose(seed, words=60):
+    return " ".join(f"w{(seed * 7919 + k * 104729) % 10007}" for k in range(words))
+
+
+def test_thresholds_follow_the_source(spark):
+    """Code with many symbols is kept where all of its source is like that, and rejected elsewhere."""
+    symbols = [(k, "<a> & " + prose(k, 10).replace(" ", " # "), "en", "code") for k in range(150)]
+    plain = [(200 + k, prose(k), "en", "web") for k in range(150)]
+    odd = [(999, "<a> & " + prose(5, 10).replace(" ", " # "), "en", "web")]
+    docs = spark.createDataFrame(symbols + plain + odd, "doc_id long, text string, lang string, source string")
+    kept = {row.doc_id for row in keep_good(docs).collect()}
+    assert kept == {row[0] for row in symbols + plain}
+
+
+def test_small_groups_use_their_language(spark):
+    big = [(k, prose(k), "en", "web") for k in range(120)]
+    small = [(500, "*** " * 30 + prose(1, 12), "en", "rare")]
+    docs = spark.createDataFrame(big + small, "doc_id long, text string, lang string, source string")
+    assert 500 not in {row.doc_id for row in keep_good(docs).collect()}
+
+
+def test_odd_documents(odd_docs, clashing_docs):
+    verdicts = {(r.doc_id, r.n_words): r.kept for r in quality_verdicts(odd_docs, "doc_id").collect()}
+    assert verdicts[(3, 0)] is False and verdicts[(4, 0)] is False and verdicts[(5, 30_000)] is True
+    kept = keep_good(clashing_docs)
+    assert kept.columns == clashing_docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
+        str(r.doc_id) for r in keep_good(odd_docs).collect()
+    )
+
+
+def test_no_documents(no_docs):
+    assert quality_verdicts(no_docs, "doc_id").count() == 0 == keep_good(no_docs).count()

@@ -14,7 +14,7 @@ def odd_rows():
         (None, prose, None, None),
         (None, "another text without an id that has ten words or more in it", "en", "b"),
         (5, long_text, "de", "b"),
-        (6, "mit license \\n\\n" + long_text, "de", "b"),
+        (6, "mit license \n\n" + long_text, "de", "b"),
         (7, "émigré ñandú ☃ \U0001f600 naïve", "fr", ""),
     ]
 

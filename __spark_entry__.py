@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timedelta
+from uuid import uuid4
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,9 +27,17 @@ from plateflow.plans.health import (
 )
 from plateflow.plans.registry import REPORTS
 from plateflow.schema import ARRIVAL_PARTITIONS
-from plateflow.sources.catalog import payload_drift
-from plateflow.sources.demo_tables import AS_OF, base_events, clickstream, derive_events, payload_lines
-from plateflow.sources.lake import land_events, land_rejects, read_events, read_quarantine
+from plateflow.plans.suite import read_report, refresh_report_tables, run_reports
+from plateflow.sources.catalog import create_event_table, payload_drift, read_event_table, sync_since
+from demo_tables import AS_OF, base_events, clickstream, derive_events, payload_lines
+from plateflow.sources.lake import (
+    compact_hours,
+    land_events,
+    land_rejects,
+    read_events,
+    read_quarantine,
+    read_written,
+)
 from plateflow.sources.payloads import read_payloads
 from plateflow.sources.scratch import scratch_folder
 from plateflow.streaming.ingest import IngestTarget, start_ingest
@@ -43,8 +53,8 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The test data has few rejects per five minutes.
-TEST_ALARM_ERRORS = 2
+# Besides the default, a threshold that many five-minute windows of small data reach.
+LOW_ALARM_ERRORS = 2
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,12 +70,6 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_events(enrich(_lines(spark, sf_dir), F.col("ingested_at")))
 
 
-def _judged_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validated payloads stamped with the day of arrival, so a month fills 31 folders, not 744."""
-    day = F.date_trunc("day", F.col("ingested_at"))
-    return validate_events(enrich(_lines(spark, sf_dir), day))
-
-
 def _as_text(df: DataFrame) -> DataFrame:
     """VARIANT and date columns as text, which both engines write alike."""
     texts = {}
@@ -92,33 +96,74 @@ def _over_judged(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _landed(file_format: str) -> Query:
-    """Land accepted payloads, read the lake back and count it by folder."""
+    """Land accepted payloads and read the lake back."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        judged = _judged_by_day(spark, sf_dir)
         path = scratch_folder(spark, f"lake-{file_format}")
-        land_events(judged, path, file_format=file_format)
+        land_events(_judged(spark, sf_dir), path, file_format=file_format)
         lake = read_events(spark, path, file_format)
-        return lake.groupBy(*ARRIVAL_PARTITIONS, "event_type").agg(
-            F.count("*").alias("events"),
-            F.round(F.sum("price"), 2).alias("price_sum"),
-            F.count("event_ts").alias("dated"),
-            F.count_distinct(F.try_variant_get("extra", "$.platform", "string")).alias("platforms"),
-        )
+        platform = F.try_variant_get("extra", "$.platform", "string").alias("platform")
+        return lake.select(*ARRIVAL_PARTITIONS, "event_id", "event_type", "price", "event_ts", platform)
 
     return run
 
 
 def _landed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = _judged_by_day(spark, sf_dir)
     path = scratch_folder(spark, "quarantine")
-    land_rejects(judged, path)
+    land_rejects(_judged(spark, sf_dir), path)
     rejects = read_quarantine(spark, path)
-    return rejects.groupBy(*ARRIVAL_PARTITIONS, "error_type", "field").agg(
-        F.count("*").alias("rejected")
+    return rejects.select(*ARRIVAL_PARTITIONS, "error_type", "field", "error", "value")
+
+
+def _three_batches(spark: SparkSession, sf_dir: str) -> str:
+    """A lake landed by three writes, the second one twice."""
+    path = scratch_folder(spark, "batches")
+    judged = _judged(spark, sf_dir)
+    for number in (0, 1, 1, 2):
+        land_events(judged.filter(F.col("seq") % 3 == number), path, f"{number:08d}")
+    return path
+
+
+def _compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and files of each hour after compaction."""
+    path = _three_batches(spark, sf_dir)
+    span = _judged(spark, sf_dir).agg(F.min("ingested_at").alias("a"), F.max("ingested_at").alias("b")).first()
+    first = span["a"].replace(minute=0, second=0, microsecond=0)
+    compact_hours(spark, path, first, span["b"] + timedelta(hours=1))
+    lake = read_written(spark, path).withColumn("file", F.col("_metadata.file_name"))
+    return lake.groupBy(*ARRIVAL_PARTITIONS).agg(
+        F.count("*").alias("events"),
+        F.count_distinct("file").cast("int").alias("files"),
+        F.count_distinct("batch_id").alias("batches"),
+        F.round(F.sum("price"), 2).alias("price_sum"),
     )
 
 
+def _catalog_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last week of a lake, through a table that knows this week's folders only."""
+    path = _three_batches(spark, sf_dir)
+    table = f"events_{uuid4().hex}"
+    create_event_table(spark, table, path)
+    last = datetime.fromisoformat(AS_OF) + timedelta(days=1)
+    sync_since(spark, table, path, last - timedelta(days=7), last)
+    return read_event_table(spark, table).select("event_id", "event_type", *ARRIVAL_PARTITIONS)
+
+
+def _report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report stored, stored again, and read back."""
+    out = scratch_folder(spark, "reports")
+    events = _events(spark, sf_dir)
+    for _ in range(2):
+        refresh_report_tables(spark, events, out, ["device_breakdown"], AS_OF)
+    return read_report(spark, "device_breakdown", out)
+
+
+def _suite_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = run_reports(spark, _events(spark, sf_dir), as_of=AS_OF)
+    rows = [(r.name, r.status, len(r.rows), r.truncated) for r in results]
+    return spark.createDataFrame(rows, "name string, status string, fetched long, truncated boolean")
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> IngestTarget:
     """Run the payload texts through the continuous ingest until all are landed."""
     root = scratch_folder(spark, "ingest")
@@ -143,8 +188,10 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy("error_type", "field").agg(F.count("*").alias("rejected"))
 
 
-def _stream_ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five-minute metric as a stream over the test table, all windows written at the end."""
+def _streamed_metric(
+    spark: SparkSession, sf_dir: str, metric: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """A five-minute metric as a stream over the test table, all windows written at the end."""
     configure_session(spark)
     root = scratch_folder(spark, "rates")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -154,13 +201,34 @@ def _stream_ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .parquet(sf_dir)
     )
     judged = validate_events(payload_lines(derive_events(rows)))
-    metric = ingest_rate_5min(judged)
     start_metric(
-        metric, f"{root}/out", f"{root}/checkpoint", "complete", available_now=True
+        metric(judged), f"{root}/out", f"{root}/checkpoint", "complete", available_now=True
     ).awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
+def _stream_ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed_metric(spark, sf_dir, ingest_rate_5min)
+
+
+def _stream_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed_metric(
+        spark, sf_dir, lambda judged: ingest_error_alarm(judged, threshold=LOW_ALARM_ERRORS)
+    )
+
+
+def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payloads twice, in several micro-batches, with repeated ids dropped."""
+    root = scratch_folder(spark, "dedup")
+    for copy in range(2):
+        lines = _lines(spark, sf_dir).select("value").repartition(3)
+        lines.write.mode("append").text(f"{root}/payloads")
+    target = IngestTarget(f"{root}/events", f"{root}/rejects", f"{root}/checkpoint")
+    stream = read_payloads(spark, f"{root}/payloads", streaming=True, max_bytes_per_trigger=1 << 20)
+    start_ingest(stream, target, available_now=True, dedup_hours=2).awaitTermination()
+    return read_events(spark, target.events).select("event_id", "price")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the most popular items of the last seven days."""
     return queries()["popular_items"](spark, "/root/testdata/sf0.001")
@@ -193,11 +261,20 @@ def queries() -> dict[str, Query]:
         "rejection_summary": _over_judged(rejection_summary),
         "ingest_summary": _over_judged(ingest_summary),
         "ingest_rate_5min": _over_judged(ingest_rate_5min),
-        "ingest_error_alarm": _over_judged(lambda j: ingest_error_alarm(j, TEST_ALARM_ERRORS)),
+        "ingest_error_alarm": _over_judged(ingest_error_alarm),
+        "ingest_error_alarm_of_two": _over_judged(
+            lambda j: ingest_error_alarm(j, threshold=LOW_ALARM_ERRORS)
+        ),
         "payload_drift": _over_judged(payload_drift),
         "landed_json": _landed("json"),
         "landed_parquet": _landed("parquet"),
         "landed_rejects": _landed_rejects,
+        "compacted_lake": _compacted_lake,
+        "catalog_events": _catalog_events,
+        "report_table": _report_table,
+        "suite_status": _suite_status,
+        "stream_alarm": _stream_alarm,
+        "stream_dedup": _stream_dedup,
         "stream_ingest": _stream_ingest,
         "stream_rejects": _stream_rejects,
         "stream_ingest_rate": _stream_ingest_rate,

@@ -1,7 +1,9 @@
 """Clickstream views derived from the generic ``events`` test table.
 
 ``events`` has an id, a time, a user, a type, a value and a small JSON text.  Every column of the
-clickstream is a fixed rule over these, so that another SQL engine can apply the same rules.
+clickstream is a fixed rule over these, so that another SQL engine can apply the same rules.  Guests
+come back within a week, so sessions reach all steps; most kiosks fail in the last week; some times
+can't be read; arrivals are up to half a second early, up to a day late, or gathered at midnight.
 """
 
 from __future__ import annotations
@@ -15,6 +17,11 @@ from plateflow.schema import ARRIVAL_PARTITIONS, CATEGORIES, EVENT_COLUMNS
 
 AS_OF = "2024-01-30"
 LINE_KINDS = 41
+ITEMS = 25
+GUESTS = 7
+# One event in so many has a time that can't be read.
+UNREADABLE = 53
+KIOSKS_FAIL = "2024-01-24 00:00:00"
 
 
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +36,7 @@ def derive_events(source: DataFrame) -> DataFrame:
         "user_id",
         F.col("event_type").alias("raw_type"),
         "value",
-        F.regexp_extract("props", r"[0-9]+", 0).cast("int").alias("k"),
+        (F.regexp_extract("props", r"[0-9]+", 0).cast("int") % ITEMS).alias("k"),
     )
     group = F.col("k") % 5
     kind = F.col("raw_type")
@@ -40,30 +47,38 @@ def derive_events(source: DataFrame) -> DataFrame:
         .when((kind == "view") & (group == 4), "click")
         .otherwise(kind)
     )
+    kiosk_works = (F.col("event_ts") < F.lit(KIOSKS_FAIL).cast("timestamp")) | (F.col("seq") % 4 == 0)
     device = (
-        F.when(seat < 10, "mobile").when(seat < 16, "web").when(seat < 19, "kiosk")
+        F.when(seat < 10, "mobile").when(seat < 16, "web")
+        .when(seat < 19, F.when(kiosk_works, "kiosk").otherwise("web"))
         .otherwise("tablet")
     )
+    readable = F.col("seq") % UNREADABLE != 0
+    late = F.make_dt_interval(
+        hours=(F.col("seq") % 7 * 4).cast("int"), secs=(F.col("seq") * 37 % 2000 - 500) / 1000
+    )
+    # Every third event waits for the delivery at midnight.
+    midnight = F.date_trunc("day", "event_ts") + F.make_dt_interval(days=F.lit(1))
+    arrived = F.when(F.col("seq") % 3 == 0, midnight).otherwise(F.col("event_ts") + late)
     category = F.get(F.array(*[F.lit(name) for name in CATEGORIES]), group)
     return rows.select(
         "seq",
         F.col("seq").cast("string").alias("event_id"),
         F.concat(F.lit("rest_00"), (F.col("seq") % 3 + 1).cast("string")).alias("restaurant_id"),
         F.concat(
-            F.lit("s"), F.col("user_id").cast("string"), F.lit("-"),
-            F.to_date("event_ts").cast("string"),
+            F.lit("s"), (F.col("user_id") % GUESTS).cast("string"), F.lit("-"),
+            F.to_date(F.date_trunc("week", "event_ts")).cast("string"),
         ).alias("session_id"),
-        F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.when(readable, F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .otherwise("soon").alias("timestamp"),
         event_type.alias("event_type"),
         F.concat(F.lit("item_"), F.lpad(F.col("k").cast("string"), 3, "0")).alias("menu_item_id"),
         F.concat(F.lit("Item "), F.col("k").cast("string")).alias("menu_item_name"),
         category.alias("category"),
         F.when(F.col("seq") % 97 == 0, -F.col("value")).otherwise(F.col("value")).alias("price"),
         device.alias("device_type"),
-        "event_ts",
-        (
-            F.col("event_ts") + F.make_dt_interval(hours=(F.col("seq") % 7 * 4).cast("int"))
-        ).alias("ingested_at"),
+        F.when(readable, F.col("event_ts")).alias("event_ts"),
+        arrived.alias("ingested_at"),
         F.get(
             F.array(F.lit("ios"), F.lit("android"), F.lit("web")), (F.col("seq") % 3).cast("int")
         ).alias("platform"),

@@ -1,7 +1,7 @@
 """SQL twins of the registered queries, written independently of the Spark code.
 
 Every statement starts from the table ``events``.  ``COMMON`` applies the derivation rules of
-``plateflow.sources.demo_tables``; the statements then compute each result in plain SQL.
+``demo_tables``; the statements then compute each result in plain SQL.
 """
 
 from __future__ import annotations
@@ -19,16 +19,17 @@ def _text(value: str) -> str:
 COMMON = """
 WITH base AS (
     SELECT event_id AS seq, ts AS event_ts, user_id, event_type AS raw_type, value,
-           CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k
+           CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 25 AS k
     FROM events
 ),
 all_events AS (
     SELECT seq,
            CAST(seq AS VARCHAR) AS event_id,
            'rest_00' || CAST(seq % 3 + 1 AS VARCHAR) AS restaurant_id,
-           's' || CAST(user_id AS VARCHAR) || '-' || CAST(CAST(event_ts AS DATE) AS VARCHAR)
-               AS session_id,
-           strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp",
+           's' || CAST(user_id % 7 AS VARCHAR) || '-'
+               || CAST(CAST(date_trunc('week', event_ts) AS DATE) AS VARCHAR) AS session_id,
+           CASE WHEN seq % 53 = 0 THEN 'soon'
+                ELSE strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS "timestamp",
            CASE WHEN raw_type = 'signup' THEN 'add_to_cart'
                 WHEN raw_type = 'purchase' AND k % 5 = 2 THEN 'click'
                 WHEN raw_type = 'purchase' THEN 'order'
@@ -40,9 +41,13 @@ all_events AS (
                       WHEN 3 THEN 'Drinks' ELSE 'Desserts' END AS category,
            CASE WHEN seq % 97 = 0 THEN -value ELSE value END AS price,
            CASE WHEN user_id % 20 < 10 THEN 'mobile' WHEN user_id % 20 < 16 THEN 'web'
-                WHEN user_id % 20 < 19 THEN 'kiosk' ELSE 'tablet' END AS device_type,
-           event_ts,
-           event_ts + to_hours(CAST(seq % 7 * 4 AS INTEGER)) AS ingested_at,
+                WHEN user_id % 20 = 19 THEN 'tablet'
+                WHEN event_ts < TIMESTAMP '2024-01-24' OR seq % 4 = 0 THEN 'kiosk'
+                ELSE 'web' END AS device_type,
+           CASE WHEN seq % 53 <> 0 THEN event_ts END AS event_ts,
+           CASE WHEN seq % 3 = 0 THEN date_trunc('day', event_ts) + INTERVAL 1 DAY
+                ELSE event_ts + to_hours(CAST(seq % 7 * 4 AS INTEGER))
+                     + to_milliseconds(CAST(seq * 37 % 2000 - 500 AS INTEGER)) END AS ingested_at,
            CASE seq % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' ELSE 'web' END AS platform
     FROM base
 ),
@@ -181,15 +186,12 @@ FROM (
     FROM clickstream WHERE arrival {MONTH} GROUP BY category, event_type
 ) s
 LEFT JOIN (
-    SELECT v.category,
-           round(CAST(coalesce(o.n, 0) AS DOUBLE) / nullif(CAST(v.n AS DOUBLE), 0), 4)
-               AS conversion_rate
-    FROM (SELECT category, count(*) AS n FROM clickstream
-          WHERE arrival {MONTH} AND event_type = 'view' GROUP BY category) v
-    LEFT JOIN (SELECT category, count(*) AS n FROM clickstream
-               WHERE arrival {MONTH} AND event_type = 'order' GROUP BY category) o
-      ON v.category = o.category
-) r ON s.category = r.category"""
+    SELECT category,
+           CASE WHEN count_if(event_type = 'view') > 0
+                THEN round(count_if(event_type = 'order')::DOUBLE / count_if(event_type = 'view'), 4)
+           END AS conversion_rate
+    FROM clickstream WHERE arrival {MONTH} GROUP BY category
+) r USING (category)"""
 
 RATES = """
 SELECT time_bucket(INTERVAL '5 minutes', ingested_at) AS window_start,
@@ -199,21 +201,6 @@ SELECT time_bucket(INTERVAL '5 minutes', ingested_at) AS window_start,
        count(*) FILTER (WHERE status = 200) AS delivered
 FROM judged GROUP BY 1, 2"""
 
-DAY_FOLDERS = """strftime(ingested_at, '%Y') AS year, strftime(ingested_at, '%m') AS month,
-    strftime(ingested_at, '%d') AS day, '00' AS hour"""
-
-LANDED = f"""
-SELECT {DAY_FOLDERS}, event_type, count(*) AS events, round(sum(price), 2) AS price_sum,
-       count(*) FILTER (WHERE form <> 18) AS dated,
-       count(DISTINCT platform) AS platforms
-FROM judged WHERE status = 200 GROUP BY ALL"""
-
-
-def _skew_digits(number: str) -> str:
-    whole = f"CAST(floor(abs({number})) AS BIGINT)"
-    drop = f"greatest(length(CAST({whole} AS VARCHAR)) - 3, 0)"
-    step = f"CAST(rpad('1', CAST({drop} + 1 AS INTEGER), '0') AS BIGINT)"
-    return f"(CASE WHEN {number} < 0 THEN -1 ELSE 1 END) * ({whole} - {whole} % {step})"
 
 
 EVENT_QUERIES = {
@@ -284,11 +271,11 @@ EVENT_QUERIES = {
     )
     + " FROM clickstream GROUP BY restaurant_id",
     "device_daily_trend": """SELECT CAST(event_date AS VARCHAR) AS event_date, device_type, count(event_id) AS event_count
-        FROM clickstream GROUP BY event_date, device_type""",
+        FROM clickstream WHERE event_date IS NOT NULL GROUP BY event_date, device_type""",
     "category_daily_views": """SELECT CAST(event_date AS VARCHAR) AS event_date, category, count(*) AS views FROM clickstream
-        WHERE event_type = 'view' GROUP BY event_date, category""",
+        WHERE event_type = 'view' AND event_date IS NOT NULL GROUP BY event_date, category""",
     "hourly_profile": """SELECT CAST(hour(event_ts) AS INTEGER) AS hour_of_day,
-        count(*) AS event_count FROM clickstream GROUP BY 1""",
+        count(*) AS event_count FROM clickstream WHERE event_ts IS NOT NULL GROUP BY 1""",
     "device_platform_mix": """SELECT device_type, platform, count(DISTINCT session_id) AS sessions,
         count(*) FILTER (WHERE event_type = 'view') AS views
         FROM clickstream GROUP BY device_type, platform""",
@@ -312,14 +299,19 @@ EVENT_QUERIES = {
                      bool_or(event_type = 'add_to_cart') AS a, bool_or(event_type = 'order') AS o
               FROM clickstream GROUP BY restaurant_id, session_id, menu_item_id)
         GROUP BY restaurant_id""",
-    "clock_skew": f"""
-        SELECT device_type, count(*) AS events, count(*) FILTER (WHERE skew IS NULL) AS unparsed,
-               min(skew) AS min_skew_s, max(skew) AS max_skew_s,
-               quantile_cont(CAST({_skew_digits("skew")} AS DOUBLE), 0.95) AS p95_skew_s,
-               count(*) FILTER (WHERE skew < 0) AS negative
-        FROM (SELECT device_type, (epoch_us(ingested_at) - epoch_us(event_ts)) / 1e6 AS skew
-              FROM clickstream)
-        GROUP BY device_type""",
+    "clock_skew": """
+        SELECT device_type, events, unparsed, low / 1e6 AS min_skew_s, high / 1e6 AS max_skew_s,
+               sign(p95) * (abs(p95) - abs(p95) % CAST(pow(10, greatest(
+                   length(CAST(abs(p95) AS VARCHAR)) - 3, 0)) AS BIGINT)) / 1e6 AS p95_skew_s,
+               negative
+        FROM (
+            SELECT device_type, count(*) AS events, count(*) FILTER (WHERE skew IS NULL) AS unparsed,
+                   min(skew) AS low, max(skew) AS high, quantile_disc(skew, 0.95) AS p95,
+                   count(*) FILTER (WHERE skew < 0) AS negative
+            FROM (SELECT device_type, epoch_us(ingested_at) - epoch_us(event_ts) AS skew
+                  FROM clickstream)
+            GROUP BY device_type
+        )""",
     "late_arrivals": f"""
         SELECT {FIELDS}, {EXTRA}, {PARTITIONS} FROM clickstream
         WHERE arrival {WEEK} AND NOT event_date {WEEK}""",
@@ -363,6 +355,10 @@ PAYLOAD_QUERIES = {
     "ingest_rate_5min": RATES,
     "stream_ingest_rate": RATES,
     "ingest_error_alarm": f"""SELECT window_start, window_end, errors FROM ({RATES})
+        WHERE errors >= 10""",
+    "ingest_error_alarm_of_two": f"""SELECT window_start, window_end, errors FROM ({RATES})
+        WHERE errors >= 2""",
+    "stream_alarm": f"""SELECT window_start, window_end, errors FROM ({RATES})
         WHERE errors >= 2""",
     "payload_drift": """
         SELECT 'platform' AS "column", count(*) AS payloads, 'added' AS kind
@@ -370,10 +366,15 @@ PAYLOAD_QUERIES = {
         UNION ALL SELECT 'body', count(*), 'added' FROM judged WHERE form = 3
         UNION ALL SELECT 'user_id', count(*), 'added' FROM judged WHERE form = 16
         UNION ALL SELECT 'ingested_at', count(*), 'added' FROM judged WHERE form = 16""",
-    "landed_json": LANDED,
-    "landed_parquet": LANDED,
-    "landed_rejects": f"""SELECT {DAY_FOLDERS}, error_type, field, count(*) AS rejected
-        FROM judged WHERE status = 400 GROUP BY ALL""",
+    "landed_rejects": f"""SELECT {PARTITIONS}, error_type, field, error, value
+        FROM judged WHERE status = 400""",
+    "compacted_lake": f"""SELECT {PARTITIONS}, count(*) AS events, 1 AS files,
+        count(DISTINCT seq % 3) AS batches, round(sum(price), 2) AS price_sum
+        FROM judged WHERE status = 200 GROUP BY ALL""",
+    "catalog_events": f"""SELECT event_id, event_type, {PARTITIONS} FROM judged
+        WHERE status = 200 AND CAST(ingested_at AS DATE) {WEEK}""",
+    "stream_dedup": """SELECT event_id, min(price) AS price FROM judged WHERE status = 200
+        GROUP BY event_id""",
     "stream_ingest": """
         SELECT event_type, count(*) AS events, round(sum(price), 2) AS price_sum,
                count(DISTINCT session_id) AS sessions
@@ -383,7 +384,29 @@ PAYLOAD_QUERIES = {
 }
 
 
+LANDED = f"""
+SELECT {PARTITIONS}, event_id, event_type, price,
+       CASE WHEN form <> 18 THEN event_ts END AS event_ts, platform
+FROM judged WHERE status = 200"""
+
+PAYLOAD_QUERIES |= {name: LANDED for name in ("landed_json", "landed_parquet")}
+
+
+# Stored and fetched results, by report.
+SUITE_QUERIES = {
+    "report_table": f"""SELECT * FROM ({EVENT_QUERIES["device_breakdown"]})""",
+    "suite_status": f"""
+        SELECT name, status, least(n, 30) AS fetched, n > 30 AS truncated
+        FROM (VALUES ('popular_items', 'SUCCEEDED', (SELECT count(*) FROM ({POPULAR_ITEMS}))),
+                     ('hourly_trends', 'SUCCEEDED', (SELECT count(*) FROM ({HOURLY}))),
+                     ('category_analysis', 'SUCCEEDED', (SELECT count(*) FROM ({CATEGORY}))),
+                     ('device_breakdown', 'SUCCEEDED',
+                      (SELECT count(*) FROM ({EVENT_QUERIES["device_breakdown"]}))))
+             AS r(name, status, n)""",
+}
+
+
 def statements() -> dict[str, str]:
     """Every statement with its common part."""
-    over_events = {name: COMMON + sql for name, sql in EVENT_QUERIES.items()}
+    over_events = {name: COMMON + sql for name, sql in {**EVENT_QUERIES, **SUITE_QUERIES}.items()}
     return over_events | {name: JUDGED + sql for name, sql in PAYLOAD_QUERIES.items()}

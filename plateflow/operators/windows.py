@@ -57,6 +57,18 @@ def arrival_window(df: DataFrame, as_of: date | str | None = None, days: int = 7
     return df.filter(arrival_months(start, end) & arrival_days(start, end))
 
 
+def optional_window(
+    df: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
+    """Rows that arrived in the window; all rows where ``days`` is not given."""
+    return df if days is None else arrival_window(df, as_of, days)
+
+
+def dated(df: DataFrame) -> DataFrame:
+    """Rows with a readable event time.  ``clock_skew`` counts the others."""
+    return df.filter(F.col("event_ts").isNotNull())
+
+
 def _midnight(day: date) -> Column:
     return F.to_timestamp(F.lit(f"{day.isoformat()}T00:00:00Z"))
 

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plateflow.functions.measures import count_type, is_type, order_revenue, ratio
-from plateflow.operators.windows import arrival_window, event_between, of_types, window_bounds
+from plateflow.operators.windows import (
+    arrival_window,
+    dated,
+    event_between,
+    of_types,
+    optional_window,
+    window_bounds,
+)
 
 
 def _type_total(name: str, by: str) -> Column:
@@ -76,17 +83,43 @@ def category_analysis_joined(
     Kept as an independent twin of the window form.  No broadcast hint: both sides are small after
     aggregation and the optimizer measures them.
     """
-    stats = category_analysis(events, as_of, days).drop("conversion_rate")
-    rates = category_conversion(events, as_of, days)
-    return stats.join(rates, "category", "left")
+    window = arrival_window(events, as_of, days)
+    by_type = window.groupBy("category", "event_type")
+    counts = by_type.agg(F.count("*").alias("event_count"), F.sum("price").alias("prices"))
+    items = (
+        window.select("category", "event_type", "menu_item_id")
+        .distinct()
+        .groupBy("category", "event_type")
+        .agg(F.count("menu_item_id").alias("unique_items"))
+    )
+    return (
+        counts.join(items, ["category", "event_type"], "left")
+        .join(category_conversion(events, as_of, days), "category", "left")
+        .select(
+            "category",
+            "event_type",
+            "event_count",
+            "unique_items",
+            F.round(F.coalesce("prices", F.lit(0.0)), 2).alias("total_revenue"),
+            F.round(F.col("prices") / F.col("event_count"), 2).alias("avg_price"),
+            "conversion_rate",
+        )
+        .orderBy("category", "event_type")
+    )
 
 
-def events_by_category(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    return events.groupBy("category").agg(F.count("event_id").alias("event_count"))
+def events_by_category(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
+    rows = optional_window(events, as_of, days)
+    return rows.groupBy("category").agg(F.count("event_id").alias("event_count"))
 
 
-def category_event_breakdown(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    return events.groupBy("category", "event_type").agg(F.count("event_id").alias("event_count"))
+def category_event_breakdown(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
+    rows = optional_window(events, as_of, days)
+    return rows.groupBy("category", "event_type").agg(F.count("event_id").alias("event_count"))
 
 
 def revenue_kpi(events: DataFrame, as_of: date | str | None = None, days: int = 7) -> DataFrame:
@@ -109,10 +142,12 @@ def revenue_kpi(events: DataFrame, as_of: date | str | None = None, days: int =
     return totals.withColumn("change_pct", change)
 
 
-def category_daily_views(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def category_daily_views(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
     """View events by category and event date."""
     return (
-        of_types(events, "view")
+        of_types(dated(optional_window(events, as_of, days)), "view")
         .groupBy(F.to_date("event_ts").alias("event_date"), "category")
         .agg(F.count("*").alias("views"))
     )

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plateflow.functions.measures import count_type, percent
-from plateflow.operators.windows import arrival_days, arrival_months, arrival_window, window_bounds
+from plateflow.operators.windows import (
+    arrival_days,
+    arrival_months,
+    arrival_window,
+    dated,
+    optional_window,
+    window_bounds,
+)
 from plateflow.schema import DEVICE_TYPES
 
 
@@ -35,14 +42,19 @@ def device_breakdown(
     ).orderBy("restaurant_id", F.desc("event_count"), "device_type")
 
 
-def events_by_device(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    return events.groupBy("device_type").agg(F.count("event_id").alias("event_count"))
+def events_by_device(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
+    rows = optional_window(events, as_of, days)
+    return rows.groupBy("device_type").agg(F.count("event_id").alias("event_count"))
 
 
-def restaurant_device_pivot(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def restaurant_device_pivot(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
     """One row per restaurant: events and distinct sessions of each device, 0 where none."""
     grid = (
-        _restaurant_devices(events)
+        _restaurant_devices(optional_window(events, as_of, days))
         .groupBy("restaurant_id")
         .pivot("device_type", list(DEVICE_TYPES))
         .agg(F.sum("event_count").alias("events"), F.sum("unique_sessions").alias("sessions"))
@@ -50,17 +62,23 @@ def restaurant_device_pivot(events: DataFrame, as_of: date | str | None = None)
     return grid.fillna(0, subset=[name for name in grid.columns if name != "restaurant_id"])
 
 
-def device_daily_trend(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def device_daily_trend(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
     """Events by event date and device."""
-    return events.groupBy(F.to_date("event_ts").alias("event_date"), "device_type").agg(
+    rows = dated(optional_window(events, as_of, days))
+    return rows.groupBy(F.to_date("event_ts").alias("event_date"), "device_type").agg(
         F.count("event_id").alias("event_count")
     )
 
 
-def device_platform_mix(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def device_platform_mix(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
     """Distinct sessions and views by device and the ``platform`` extra."""
     platform = F.try_variant_get("extra", "$.platform", "string")
-    return events.groupBy("device_type", platform.alias("platform")).agg(
+    rows = optional_window(events, as_of, days)
+    return rows.groupBy("device_type", platform.alias("platform")).agg(
         F.count_distinct("session_id").alias("sessions"), count_type("view").alias("views")
     )
 

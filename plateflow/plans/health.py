@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plateflow.functions.measures import leading_digits, percent
-from plateflow.functions.temporal import seconds_between
 from plateflow.operators.validation import ACCEPTED, REJECTED, rejected_events
-from plateflow.operators.windows import arrival_window, outside_event_window
+from plateflow.operators.windows import arrival_window, optional_window, outside_event_window, window_bounds
 
 # Metric period, alarm threshold and failure share that warns.
 METRIC_PERIOD = "5 minutes"
@@ -18,19 +17,35 @@ ALARM_ERRORS = 10
 WARN_PERCENT = 10
 
 
-def rejection_summary(validated: DataFrame) -> DataFrame:
+def _arrived(
+    validated: DataFrame, as_of: date | str | None, days: int | None
+) -> DataFrame:
+    """Payloads whose arrival day is in the window; all where ``days`` is not given."""
+    if days is None:
+        return validated
+    return validated.filter(F.to_date("ingested_at").between(*window_bounds(as_of, days)))
+
+
+def rejection_summary(
+    validated: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
     """Rejected payloads by offending field."""
-    return rejected_events(validated).groupBy("field").agg(F.count("*").alias("rejected"))
+    return rejected_events(_arrived(validated, as_of, days)).groupBy("field").agg(F.count("*").alias("rejected"))
 
 
-def ingest_summary(validated: DataFrame, warn_pct: float = WARN_PERCENT) -> DataFrame:
+def ingest_summary(
+    validated: DataFrame,
+    as_of: date | str | None = None,
+    days: int | None = None,
+    warn_pct: float = WARN_PERCENT,
+) -> DataFrame:
     """Payloads by type, by restaurant, by device and in total, with the rejected share.
 
     Payloads are counted once by all three dimensions; the grouping sets run over those counts,
     so the payload rows are not multiplied.
     """
     dimensions = ["event_type", "restaurant_id", "device_type"]
-    base = validated.groupBy(
+    base = _arrived(validated, as_of, days).groupBy(
         *[F.coalesce(F.col(name), F.lit("unknown")).alias(name) for name in dimensions]
     ).agg(F.count("*").alias("n"), F.count_if(F.col("status") == REJECTED).alias("bad"))
     sets = base.groupingSets(
@@ -53,12 +68,17 @@ def ingest_summary(validated: DataFrame, warn_pct: float = WARN_PERCENT) -> Data
     )
 
 
-def ingest_rate_5min(validated: DataFrame, watermark: str | None = None) -> DataFrame:
+def ingest_rate_5min(
+    validated: DataFrame,
+    as_of: date | str | None = None,
+    days: int | None = None,
+    watermark: str | None = None,
+) -> DataFrame:
     """Payloads, rejections and accepted events per five minutes of arrival.
 
     Works on a batch or a stream.  A stream that appends needs a ``watermark``.
     """
-    rows = validated.select("ingested_at", "status")
+    rows = _arrived(validated, as_of, days).select("ingested_at", "status")
     if watermark is not None:
         rows = rows.withWatermark("ingested_at", watermark)
     return (
@@ -79,26 +99,35 @@ def ingest_rate_5min(validated: DataFrame, watermark: str | None = None) -> Data
 
 
 def ingest_error_alarm(
-    validated: DataFrame, threshold: int = ALARM_ERRORS, watermark: str | None = None
+    validated: DataFrame,
+    as_of: date | str | None = None,
+    days: int | None = None,
+    threshold: int = ALARM_ERRORS,
+    watermark: str | None = None,
 ) -> DataFrame:
     """Five-minute windows with at least ``threshold`` rejected payloads.
 
     A window without payloads does not appear, so missing data raises no alarm.
     """
-    rates = ingest_rate_5min(validated, watermark)
+    rates = ingest_rate_5min(validated, as_of, days, watermark)
     return rates.filter(F.col("errors") >= threshold).select("window_start", "window_end", "errors")
 
 
-def clock_skew(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def clock_skew(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
     """Arrival minus event time in seconds, by device.
 
-    Skews are first counted by device and leading three digits.  The 95th percentile is exact over
-    those digits, and the last step sees a bounded number of values per device.
+    The 95th percentile is the least skew that 95 of 100 events don't exceed, cut to three leading
+    digits of its microseconds: right within one percent from a microsecond to years, and negative
+    skews alike.  Skews are counted by device and these digits first, a bounded number of rows, so
+    the running count never sees the events of a device.
     """
-    skew = seconds_between(F.col("ingested_at"), F.col("event_ts"))
+    micros = F.unix_micros("ingested_at") - F.unix_micros("event_ts")
     counted = (
-        events.select("device_type", skew.alias("skew"))
-        .groupBy("device_type", leading_digits(F.col("skew")).alias("skew_digits"))
+        optional_window(events, as_of, days)
+        .select("device_type", micros.alias("skew"))
+        .groupBy("device_type", leading_digits(F.col("skew")).alias("digits"))
         .agg(
             F.count("*").alias("n"),
             F.min("skew").alias("low"),
@@ -106,13 +135,21 @@ def clock_skew(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
             F.count_if(F.col("skew") < 0).alias("early"),
         )
     )
-    digits = F.col("skew_digits")
-    return counted.groupBy("device_type").agg(
+    of_device = Window.partitionBy("device_type")
+    readable = F.when(F.col("digits").isNotNull(), F.col("n"))
+    ranked = counted.withColumns(
+        {
+            "upto": F.sum(readable).over(of_device.orderBy("digits")),
+            "known": F.sum(readable).over(of_device),
+        }
+    )
+    enough = F.col("upto") >= F.lit(0.95) * F.col("known")
+    return ranked.groupBy("device_type").agg(
         F.sum("n").alias("events"),
-        F.coalesce(F.sum(F.when(digits.isNull(), F.col("n"))), F.lit(0)).alias("unparsed"),
-        F.min("low").alias("min_skew_s"),
-        F.max("high").alias("max_skew_s"),
-        F.percentile(digits, F.lit(0.95), F.col("n")).alias("p95_skew_s"),
+        F.sum(F.when(F.col("digits").isNull(), F.col("n")).otherwise(0)).alias("unparsed"),
+        (F.min("low") / 1e6).alias("min_skew_s"),
+        (F.max("high") / 1e6).alias("max_skew_s"),
+        (F.min(F.when(enough, F.col("digits"))) / 1e6).alias("p95_skew_s"),
         F.sum("early").alias("negative"),
     )
 

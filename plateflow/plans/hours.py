@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plateflow.functions.temporal import day_name, iso_day_number
-from plateflow.operators.windows import arrival_window, event_window
+from plateflow.operators.windows import arrival_window, dated, event_window, optional_window
 from plateflow.schema import WEEKDAYS
 
 
@@ -46,8 +46,11 @@ def heatmap(events: DataFrame, as_of: date | str | None = None, days: int = 7) -
     )
 
 
-def hourly_profile(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    """Events by hour of day over the whole table."""
-    return events.groupBy(F.hour("event_ts").alias("hour_of_day")).agg(
+def hourly_profile(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
+    """Events by hour of day, of those with a readable time; over the whole table or a window."""
+    rows = dated(optional_window(events, as_of, days))
+    return rows.groupBy(F.hour("event_ts").alias("hour_of_day")).agg(
         F.count("*").alias("event_count")
     )

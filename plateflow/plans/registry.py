@@ -5,13 +5,8 @@ from __future__ import annotations
 from plateflow.operators.calculated import calculated_fields
 from plateflow.plans import categories, devices, health, hours, items, sessions
 
-# The suite that runs when no names are given, with its titles.
-CORE_REPORTS = {
-    "popular_items": "Top 20 items by interaction (7 days)",
-    "hourly_trends": "Hourly event heatmap (7 days)",
-    "category_analysis": "Category analysis (30 days)",
-    "device_breakdown": "Device breakdown (7 days)",
-}
+# The suite that runs when no names are given.
+CORE_REPORTS = ("popular_items", "hourly_trends", "category_analysis", "device_breakdown")
 
 # Reports over the event table.
 REPORTS = {

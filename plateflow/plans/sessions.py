@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plateflow.functions.measures import is_type
+from plateflow.operators.windows import optional_window
 
 # Funnel steps in order.
 STEPS = {"view": "viewed", "click": "clicked", "add_to_cart": "carted", "order": "ordered"}
 
 
-def session_funnel(events: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def session_funnel(
+    events: DataFrame, as_of: date | str | None = None, days: int | None = None
+) -> DataFrame:
     """Session items that reached each step, by restaurant; a step requires all earlier ones.
 
     Steps are collected as bits, so the order of the client's timestamps plays no part and each
@@ -22,7 +25,7 @@ def session_funnel(events: DataFrame, as_of: date | str | None = None) -> DataFr
     bit = F.lit(0)
     for position, event_type in enumerate(STEPS):
         bit = F.when(is_type(event_type), 1 << position).otherwise(bit)
-    reached = events.groupBy("restaurant_id", "session_id", "menu_item_id").agg(
+    reached = optional_window(events, as_of, days).groupBy("restaurant_id", "session_id", "menu_item_id").agg(
         F.bit_or(bit).alias("steps")
     )
     counts = []

@@ -2,52 +2,95 @@
 
 from __future__ import annotations
 
+import inspect
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import Future, ThreadPoolExecutor
 from concurrent.futures import TimeoutError as WaitTimeout
 from dataclasses import dataclass, field
 from datetime import date
-from time import monotonic
+from time import monotonic, time_ns
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from plateflow.operators.windows import as_date
 from plateflow.plans.registry import CORE_REPORTS, REPORTS
+from plateflow.sources.files import Folder
 from plateflow.sources.guard import guard_scan
 
 # Rows shown per report and seconds a report may take.
 FETCH_ROWS = 30
 MAX_WAIT_SECONDS = 120
 
+# Seconds to wait for a report that was told to stop.
+STOP_SECONDS = 30
+# Reports that compare a window with the one before.
+WINDOWS_READ = {"device_dropoff": 2}
+# Reports whose window is over event times, so they read the whole lake.
+BY_EVENT_TIME = {"item_interactions", "revenue_by_item", "revenue_kpi"}
+
 SUCCEEDED, FAILED, TIMED_OUT = "SUCCEEDED", "FAILED", "TIMEOUT"
 
 
 @dataclass
 class ReportResult:
-    """Outcome of one report: its state, and either rows or a reason."""
+    """Outcome of one report: its state, and either rows or a reason.
+
+    ``truncated`` says that the report has more rows than were fetched.
+    """
 
     name: str
-    title: str
     status: str
     columns: list[str] = field(default_factory=list)
     rows: list[list[str]] = field(default_factory=list)
     error: str | None = None
     seconds: float = 0.0
+    truncated: bool = False
+
+
+@dataclass
+class Fetched:
+    """Column names and rows as text."""
+
+    columns: list[str]
+    rows: list[list[str]]
+    truncated: bool = False
 
 
-def fetch(df: DataFrame, max_rows: int = FETCH_ROWS) -> tuple[list[str], list[list[str]]]:
-    """Column names and the first rows as text, NULL as the empty text."""
-    rows = df.limit(max_rows).collect()
-    return df.columns, [["" if value is None else str(value) for value in row] for row in rows]
+def fetch(df: DataFrame, max_rows: int | None = FETCH_ROWS) -> Fetched:
+    """The first rows as text, NULL as the empty text; all rows where ``max_rows`` is None."""
+    rows = df.collect() if max_rows is None else df.limit(max_rows + 1).collect()
+    truncated = max_rows is not None and len(rows) > max_rows
+    texts = [["" if value is None else str(value) for value in row] for row in rows[:max_rows]]
+    return Fetched(df.columns, texts, truncated)
 
 
 def write_report(df: DataFrame, name: str, out: str) -> str:
-    """Replace the stored result of one report."""
-    target = f"{out.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(target)
-    return target
+    """Store a new version of a report; readers see it once it is complete.
+
+    The version before stays for readers that are still busy with it, older ones are deleted.
+    """
+    folder = Folder(df.sparkSession, f"{out.rstrip('/')}/{name}")
+    version = f"v{time_ns():020d}"
+    df.write.parquet(f"{folder.path}/{version}")
+    for old in _versions(folder)[:-2]:
+        folder.delete(old)
+    return f"{folder.path}/{version}"
+
+
+def _versions(folder: Folder) -> list[str]:
+    """Complete versions, oldest first."""
+    return [v for v in folder.names() if v.startswith("v") and folder.exists(f"{v}/_SUCCESS")]
+
+
+def read_report(spark: SparkSession, name: str, out: str) -> DataFrame:
+    """The latest complete version of a stored report."""
+    folder = Folder(spark, f"{out.rstrip('/')}/{name}")
+    versions = _versions(folder)
+    if not versions:
+        raise FileNotFoundError(f"no stored result of {name} in {out}")
+    return spark.read.parquet(f"{folder.path}/{versions[-1]}")
 
 
 def register_report_view(df: DataFrame, name: str) -> DataFrame:
@@ -56,21 +99,27 @@ def register_report_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _stop(spark: SparkSession, tag: str, future: Future) -> ReportResult:
-    """Cancel the jobs of a tag until their report ends; one may still be about to start a job."""
-    while True:
+def _stop(spark: SparkSession, tag: str, future: Future) -> ReportResult | None:
+    """Cancel the jobs of a tag until their report ends, for ``STOP_SECONDS`` at most.
+
+    A report may still be about to start a job, or busy outside of jobs, listing folders.  After the
+    limit it is left alone and its outcome is not waited for.
+    """
+    started = monotonic()
+    while monotonic() - started < STOP_SECONDS:
         spark.sparkContext.cancelJobsWithTag(tag)
         try:
             return future.result(timeout=0.5)
         except WaitTimeout:
             continue
+    return None
 
 
 def _run_together(
     spark: SparkSession,
     names: Iterable[str],
-    work: Callable[[str], tuple[list[str], list[list[str]]]],
-    max_wait: float,
+    work: Callable[[str], Fetched],
+    max_wait: float | None,
 ) -> list[ReportResult]:
     """One driver thread per report, so their jobs share the cluster; each report's jobs carry a
     tag by which a report over its time is stopped."""
@@ -80,54 +129,65 @@ def _run_together(
         return []
 
     def one(name: str) -> ReportResult:
-        title = CORE_REPORTS.get(name, name)
         started = monotonic()
         spark.sparkContext.addJobTag(f"{run}-{name}")
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         try:
-            columns, rows = work(name)
-            result = ReportResult(name, title, SUCCEEDED, columns, rows)
+            got = work(name)
+            result = ReportResult(name, SUCCEEDED, got.columns, got.rows, truncated=got.truncated)
         except Exception as problem:
-            result = ReportResult(name, title, FAILED, error=str(problem))
+            result = ReportResult(name, FAILED, error=str(problem))
         finally:
             spark.sparkContext.removeJobTag(f"{run}-{name}")
         result.seconds = monotonic() - started
         return result
 
     results = []
-    with ThreadPoolExecutor(len(names)) as pool:
-        started = monotonic()
-        pending = {
-            name: pool.submit(inheritable_thread_target(spark)(one), name) for name in names
-        }
-        for name, future in pending.items():
-            try:
-                left = max(0.0, max_wait - (monotonic() - started))
-                results.append(future.result(timeout=left))
-            except WaitTimeout:
-                stopped = _stop(spark, f"{run}-{name}", future)
-                if stopped.status != SUCCEEDED:
-                    stopped.status = TIMED_OUT
-                    stopped.error = f"no result within {max_wait} s"
-                results.append(stopped)
+    pool = ThreadPoolExecutor(len(names))
+    started = monotonic()
+    pending = {name: pool.submit(inheritable_thread_target(spark)(one), name) for name in names}
+    for name, future in pending.items():
+        try:
+            left = None if max_wait is None else max(0.0, max_wait - (monotonic() - started))
+            results.append(future.result(timeout=left))
+        except WaitTimeout:
+            stopped = _stop(spark, f"{run}-{name}", future)
+            if stopped is None or stopped.status != SUCCEEDED:
+                stopped = ReportResult(name, TIMED_OUT, error=f"no result within {max_wait} s")
+                stopped.seconds = monotonic() - started
+            results.append(stopped)
+    pool.shutdown(wait=False)
     return results
 
 
+def window_days(report: Callable[..., DataFrame]) -> int | None:
+    """Arrival days that a report reads by default; None for the whole lake."""
+    days = inspect.signature(report).parameters.get("days")
+    if days is None or days.default is None or report.__name__ in BY_EVENT_TIME:
+        return None
+    return days.default * WINDOWS_READ.get(report.__name__, 1)
+
+
 def run_reports(
     spark: SparkSession,
     events: DataFrame,
     names: Iterable[str] | None = None,
     as_of: date | str | None = None,
-    max_rows: int = FETCH_ROWS,
-    max_wait: float = MAX_WAIT_SECONDS,
+    max_rows: int | None = FETCH_ROWS,
+    max_wait: float | None = MAX_WAIT_SECONDS,
     reports: dict[str, Callable[..., DataFrame]] | None = None,
     max_bytes: int | None = None,
+    lake: str | None = None,
 ) -> list[ReportResult]:
     """Run reports at the same time and return the first rows of each.
 
-    One report's failure does not affect the others.  Without names the core suite runs.  With
-    ``max_bytes`` a report over a catalog table fails before it starts if its files are larger.
+    One report's failure does not affect the others.  Without names the core suite runs; for
+    ``INGEST_REPORTS`` give these as ``reports`` and validated payloads as ``events``.  With
+    ``max_bytes`` a report fails before it starts if its window of ``lake``, the folder of the events,
+    has more bytes.
     """
+    if max_bytes is not None and lake is None:
+        raise ValueError("max_bytes needs the lake's folder")
     day = as_date(as_of)
     known = REPORTS if reports is None else reports
     chosen = list(CORE_REPORTS if names is None else names)
@@ -135,11 +195,10 @@ def run_reports(
     if unknown:
         raise ValueError(f"unknown reports: {', '.join(unknown)}")
 
-    def work(name: str) -> tuple[list[str], list[list[str]]]:
-        result = known[name](events, day)
+    def work(name: str) -> Fetched:
         if max_bytes is not None:
-            guard_scan(result, max_bytes)
-        return fetch(result, max_rows)
+            guard_scan(spark, lake, day, window_days(known[name]), max_bytes)
+        return fetch(known[name](events, day), max_rows)
 
     return _run_together(spark, chosen, work, max_wait)
 
@@ -150,13 +209,19 @@ def refresh_report_tables(
     out: str,
     names: Iterable[str] | None = None,
     as_of: date | str | None = None,
-    max_wait: float = MAX_WAIT_SECONDS,
+    max_wait: float | None = None,
+    reports: dict[str, Callable[..., DataFrame]] | None = None,
 ) -> list[ReportResult]:
-    """Recompute reports and replace their stored results below ``out``."""
+    """Recompute reports and store a new version of each below ``out``.
+
+    A report that fails or is stopped leaves the version before as it was.
+    """
     day = as_date(as_of)
     chosen = list(CORE_REPORTS if names is None else names)
 
-    def work(name: str) -> tuple[list[str], list[list[str]]]:
-        return ["path"], [[write_report(REPORTS[name](events, day), name, out)]]
+    known = REPORTS if reports is None else reports
+
+    def work(name: str) -> Fetched:
+        return Fetched(["path"], [[write_report(known[name](events, day), name, out)]])
 
     return _run_together(spark, chosen, work, max_wait)

@@ -27,10 +27,11 @@ SERVER_FIELDS = ("ingested_at",)
 
 ARRIVAL_PARTITIONS = ("year", "month", "day", "hour")
 
-# One folder per write below the arrival hour, so that a replayed write replaces only its own files.
+# The write that landed a row.  It is a column and the beginning of file names, not a folder, so the
+# number of folders doesn't depend on the number of writes.
 WRITE_KEY = "batch_id"
 
-PARTITION_FIELDS = [T.StructField(name, T.StringType()) for name in (*ARRIVAL_PARTITIONS, WRITE_KEY)]
+PARTITION_FIELDS = [T.StructField(name, T.StringType()) for name in ARRIVAL_PARTITIONS]
 
 EVENT_FIELDS = [
     T.StructField("event_id", T.StringType()),
@@ -58,10 +59,10 @@ QUARANTINE_FIELDS = [
     T.StructField("ingested_at", T.TimestampType()),
 ]
 
-EVENT_SCHEMA = T.StructType(EVENT_FIELDS + PARTITION_FIELDS)
+_KEY_FIELD = T.StructField(WRITE_KEY, T.StringType())
+EVENT_SCHEMA = T.StructType([*EVENT_FIELDS, _KEY_FIELD, *PARTITION_FIELDS])
 QUARANTINE_SCHEMA = T.StructType(
-    QUARANTINE_FIELDS + PARTITION_FIELDS[:-1]
-    + [T.StructField("error_type", T.StringType()), PARTITION_FIELDS[-1]]
+    [*QUARANTINE_FIELDS, _KEY_FIELD, *PARTITION_FIELDS, T.StructField("error_type", T.StringType())]
 )
 
 EVENT_COLUMNS = [field.name for field in EVENT_FIELDS]

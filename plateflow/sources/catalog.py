@@ -3,46 +3,98 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plateflow.schema import ARRIVAL_PARTITIONS, EVENT_SCHEMA, REQUIRED_FIELDS, WRITE_KEY
-from plateflow.sources.lake import DEFAULT_FORMAT, TIMESTAMP_FORMAT
+from plateflow.schema import (
+    ARRIVAL_PARTITIONS,
+    EVENT_SCHEMA,
+    QUARANTINE_SCHEMA,
+    REQUIRED_FIELDS,
+    WRITE_KEY,
+)
+from plateflow.sources.files import Folder
+from plateflow.sources.lake import DEFAULT_FORMAT, TIMESTAMP_FORMAT, hour_folder
 
 
 def _quote(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
-def create_event_table(
-    spark: SparkSession, table: str, path: str, file_format: str = DEFAULT_FORMAT
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _create(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, folders: list[str], file_format: str
 ) -> None:
-    """External table over a lake, with the fixed schema; registers no partition yet."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields)
-    partitions = ", ".join([*ARRIVAL_PARTITIONS, WRITE_KEY])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     options = (
-        f"OPTIONS (timestampFormat \"{TIMESTAMP_FORMAT}\")" if file_format == "json" else ""
+        f"OPTIONS (timestampFormat {_literal(TIMESTAMP_FORMAT)})" if file_format == "json" else ""
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quote(table)} ({columns}) USING {file_format} {options} "
-        f"PARTITIONED BY ({partitions}) LOCATION '{path}'"
+        f"PARTITIONED BY ({', '.join(folders)}) LOCATION {_literal(path)}"
     )
 
 
+def create_event_table(
+    spark: SparkSession, table: str, path: str, file_format: str = DEFAULT_FORMAT
+) -> None:
+    """External table over a lake, with the fixed schema; registers no partition yet."""
+    _create(spark, table, path, EVENT_SCHEMA, list(ARRIVAL_PARTITIONS), file_format)
+
+
+def create_quarantine_table(
+    spark: SparkSession, table: str, path: str, file_format: str = DEFAULT_FORMAT
+) -> None:
+    """External table over a quarantine; registers no partition yet."""
+    folders = [*ARRIVAL_PARTITIONS, "error_type"]
+    _create(spark, table, path, QUARANTINE_SCHEMA, folders, file_format)
+
+
 def sync_partitions(spark: SparkSession, table: str) -> None:
-    """Find and register folders not yet in the catalog.  Known partitions and the table schema
-    stay as they are."""
+    """Find and register all folders not yet in the catalog, walking the whole lake.  For repairs;
+    known partitions and the table schema stay as they are."""
     spark.catalog.recoverPartitions(table)
 
 
+def sync_since(spark: SparkSession, table: str, path: str, since: datetime, until: datetime) -> int:
+    """Register the folders of the arrival hours from ``since`` up to, not including, ``until``.
+
+    Looks at these hours only, whatever the size of the lake.  Returns the folders found.
+    """
+    hours = int((until - since) / timedelta(hours=1))
+    lake = Folder(spark, path)
+    found = []
+    for folder in (hour_folder(since + timedelta(hours=n)) for n in range(hours)):
+        deeper = [name for name in lake.names(folder) if name.startswith("error_type=")]
+        if deeper:
+            found.extend(f"{folder}/{name}" for name in deeper)
+        elif lake.exists(folder):
+            found.append(folder)
+    register_folders(spark, table, found)
+    return len(found)
+
+
+def register_folders(spark: SparkSession, table: str, folders: Iterable[str]) -> None:
+    """Register folders given as ``year=2024/month=03/...`` without listing the lake."""
+    register_partitions(
+        spark, table, [dict(part.split("=", 1) for part in folder.split("/")) for folder in folders]
+    )
+
+
 def register_partitions(
     spark: SparkSession, table: str, partitions: Iterable[Mapping[str, str]]
 ) -> None:
     """Register the given folders without listing the lake."""
     specs = [
-        "PARTITION (" + ", ".join(f"`{key}`='{value}'" for key, value in spec.items()) + ")"
+        "PARTITION ("
+        + ", ".join(f"`{key}`={_literal(value)}" for key, value in spec.items())
+        + ")"
         for spec in partitions
     ]
     if specs:
@@ -77,12 +129,12 @@ def payload_drift(payloads: DataFrame, expected: Iterable[str] = REQUIRED_FIELDS
     """
     known = list(expected)
     names = payloads.filter(F.col("payload").isNotNull()).select(
-        F.explode(F.map_keys(F.col("payload").cast("map<string,variant>"))).alias("column")
+        F.explode(F.map_keys(F.col("payload").cast("map<string,variant>"))).alias("column"),
+        F.lit(1).alias("n"),
     )
-    seen = names.groupBy("column").agg(F.count("*").alias("payloads"))
-    wanted = payloads.sparkSession.createDataFrame([(name,) for name in known], "column string")
-    added = seen.filter(~F.col("column").isin(*known)).withColumn("kind", F.lit("added"))
-    missing = wanted.join(seen, "column", "left_anti").select(
-        "column", F.lit(0).cast("bigint").alias("payloads"), F.lit("missing").alias("kind")
+    wanted = payloads.sparkSession.createDataFrame([(name, 0) for name in known], "column string, n int")
+    counted = names.unionByName(wanted).groupBy("column").agg(F.sum("n").alias("payloads"))
+    added = ~F.col("column").isin(*known)
+    return counted.filter(added | (F.col("payloads") == 0)).select(
+        "column", "payloads", F.when(added, "added").otherwise("missing").alias("kind")
     )
-    return added.unionByName(missing)

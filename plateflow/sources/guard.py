@@ -2,65 +2,37 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import SparkSession
 
-from plateflow.operators.windows import arrival_days, arrival_months, window_bounds
-from plateflow.schema import PARTITION_FIELDS
+from plateflow.operators.windows import window_bounds
+from plateflow.sources.files import Folder
 
 # Fixed value: bytes one report may read.
 SCAN_LIMIT = 104_857_600
 
-# File facts only.  Without the content column Spark opens no file.
-_FILE_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
-
 class ScanLimitExceeded(RuntimeError):
     """The files a report would read are larger than allowed."""
 
 
-def lake_files(spark: SparkSession, path: str, condition: Column | None = None) -> DataFrame:
-    """Path, length and partition values of the lake's files; ``condition`` prunes folders."""
-    schema = T.StructType(_FILE_SCHEMA.fields + PARTITION_FIELDS)
-    files = spark.read.format("binaryFile").schema(schema).load(path)
-    if condition is not None:
-        files = files.filter(condition)
-    return files.select("path", "length", *[field.name for field in PARTITION_FIELDS])
-
-
 def lake_scan_bytes(
     spark: SparkSession, path: str, as_of: date | str | None = None, days: int | None = None
 ) -> int:
-    """Bytes below a lake path, of the given arrival window or of everything."""
-    condition = None
-    if days is not None:
-        bounds = window_bounds(as_of, days)
-        condition = arrival_months(*bounds) & arrival_days(*bounds)
-    total = lake_files(spark, path, condition).agg(F.sum("length").alias("n")).first()["n"]
-    return total or 0
+    """Bytes of the files below a lake path, of the given arrival window or of everything.
 
-
-def table_scan_bytes(df: DataFrame) -> int:
-    """Bytes of the files a DataFrame over a catalog table would read.
-
-    For a catalog table the file list reflects partition filters; for a path it does not, so use
-    :func:`lake_scan_bytes` there.
+    A window lists its own day folders only.  Without one every folder is listed; sizes are added up
+    one by one and not kept.
     """
-    files = df.inputFiles()
-    if not files:
-        return 0
-    listed = df.sparkSession.read.format("binaryFile").load(files).select("length")
-    return listed.agg(F.sum("length").alias("n")).first()["n"] or 0
+    if days is None:
+        return sum(size for _, size in Folder(spark, path).files())
+    start, end = window_bounds(as_of, days)
+    folders = (start + timedelta(days=n) for n in range((end - start).days + 1))
+    return sum(
+        size
+        for day in folders
+        for _, size in Folder(spark, f"{path.rstrip('/')}/{day:year=%Y/month=%m/day=%d}").files()
+    )
 
 
 def check_scan(size: int, max_bytes: int = SCAN_LIMIT) -> int:
@@ -69,7 +41,12 @@ def check_scan(size: int, max_bytes: int = SCAN_LIMIT) -> int:
     return size
 
 
-def guard_scan(df: DataFrame, max_bytes: int = SCAN_LIMIT) -> DataFrame:
-    """Return ``df``, a query on a catalog table, if its input stays within the limit."""
-    check_scan(table_scan_bytes(df), max_bytes)
-    return df
+def guard_scan(
+    spark: SparkSession,
+    path: str,
+    as_of: date | str | None = None,
+    days: int | None = None,
+    max_bytes: int = SCAN_LIMIT,
+) -> int:
+    """Bytes a query over a window of a lake would read; refuses more than the limit."""
+    return check_scan(lake_scan_bytes(spark, path, as_of, days), max_bytes)

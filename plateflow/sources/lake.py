@@ -1,11 +1,16 @@
-"""The event lake and the quarantine: folders by arrival hour, one sub-folder per write.
+"""The event lake and the quarantine: folders by arrival hour, files named after their write.
 
-A write replaces the sub-folders it produces and nothing else.  Repeating a write with the same key
-is therefore harmless, and writes with different keys never touch each other's files.
+A write stages its files beside the lake and then moves them into the hour folders under names that
+begin with its key, after deleting files of that key there.  Repeating a write is therefore harmless,
+writes with different keys never touch each other's files, and readers see no half-written file.
+``compact_hours`` later merges the files of closed hours.
 """
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,19 +33,36 @@ from plateflow.schema import (
     SERVER_FIELDS,
     WRITE_KEY,
 )
+from plateflow.sources.files import Folder
 
 # File layout.
-DEFAULT_FORMAT = "json"
+DEFAULT_FORMAT = "parquet"
 COMPRESSION = {"json": "gzip", "parquet": "zstd"}
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+# Rows of a file at most.
+FILE_ROWS = 2_000_000
+STAGING = "_staging"
+COMPACTED = "c"
+HIDDEN = "_c-"
+MARKER = "_compaction"
+
+
+def _land(
+    records: DataFrame, path: str, partitions: list[str], key: str, file_format: str
+) -> list[str]:
+    """Stage and publish one write; the hour folders it went to."""
+    staging = Folder(records.sparkSession, f"{path.rstrip('/')}/{STAGING}/{key}")
+    _stage(records, staging.path, partitions, file_format)
+    return _publish(staging, path, key)
+
 
-def _land(records: DataFrame, path: str, partitions: list[str], file_format: str) -> None:
+def _stage(records: DataFrame, path: str, partitions: list[str], file_format: str) -> None:
     writer = (
         records.write.format(file_format)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .option("compression", COMPRESSION[file_format])
+        .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy(*partitions)
     )
     if file_format == "json":
@@ -48,6 +70,29 @@ def _land(records: DataFrame, path: str, partitions: list[str], file_format: str
     writer.save(path)
 
 
+def _publish(staging: Folder, path: str, key: str) -> list[str]:
+    by_folder = _by_folder(staging)
+    for folder, names in by_folder.items():
+        target = Folder(staging.spark, f"{path.rstrip('/')}/{folder}")
+        target.make()
+        for old in target.names():
+            if old.startswith(f"{key}-"):
+                target.delete(old)
+        for name in names:
+            target.move(f"{staging.path}/{folder}/{name}", f"{key}-{name}")
+    staging.delete()
+    return list(by_folder)
+
+
+def _by_folder(folder: Folder) -> dict[str, list[str]]:
+    """File names by sub-folder."""
+    found: dict[str, list[str]] = {}
+    for relative, _ in folder.files():
+        parent, _, name = relative.rpartition("/")
+        found.setdefault(parent, []).append(name)
+    return found
+
+
 def _gathered(records: DataFrame, partitions: list[str]) -> DataFrame:
     """Rows of a folder together, so that it gets few files.  Adaptive execution splits a folder
     that is much larger than the others over several tasks."""
@@ -60,31 +105,108 @@ def land_events(
     write_key: str = "0",
     file_format: str = DEFAULT_FORMAT,
     one_hour: bool = False,
-) -> None:
-    """Write the accepted rows of enriched, validated payloads below ``path``.
+) -> list[str]:
+    """Write the accepted rows of enriched, validated payloads below ``path``; returns hour folders.
 
-    Rows of ``one_hour`` all go to one folder and are written where they are, without a shuffle;
-    rows of many hours are gathered by folder first.
+    Rows of ``one_hour`` all go to one folder and are evened out to files of the advisory size; rows
+    of many hours are gathered by folder.
     """
-    partitions = [*ARRIVAL_PARTITIONS, WRITE_KEY]
+    partitions = list(ARRIVAL_PARTITIONS)
     keyed = event_records(validated).withColumn(WRITE_KEY, F.lit(str(write_key)))
-    _land(keyed if one_hour else _gathered(keyed, partitions), path, partitions, file_format)
+    rows = keyed.hint("rebalance") if one_hour else _gathered(keyed, partitions)
+    return _land(rows, path, partitions, str(write_key), file_format)
 
 
 def land_rejects(
     validated: DataFrame, path: str, write_key: str = "0", file_format: str = DEFAULT_FORMAT
-) -> None:
+) -> list[str]:
     """Write the rejected rows below ``path``, with the error type as a further folder level."""
+    partitions = [*ARRIVAL_PARTITIONS, "error_type"]
     keyed = quarantine_records(validated).withColumn(WRITE_KEY, F.lit(str(write_key)))
-    partitions = [*ARRIVAL_PARTITIONS, "error_type", WRITE_KEY]
-    _land(_gathered(keyed, partitions), path, partitions, file_format)
+    return _land(_gathered(keyed, partitions), path, partitions, str(write_key), file_format)
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, file_format: str) -> DataFrame:
+def hour_folder(moment: datetime) -> str:
+    return f"{moment:year=%Y/month=%m/day=%d/hour=%H}"
+
+
+def compact_hours(
+    spark: SparkSession,
+    path: str,
+    since: datetime,
+    until: datetime,
+    file_format: str = DEFAULT_FORMAT,
+) -> int:
+    """Merge the files of each arrival hour from ``since`` up to, not including, ``until``.
+
+    Only for closed hours, to which no batch can return.  All hours are rewritten by one Spark job,
+    large ones by several tasks.  An hour is then switched: the merged files come in hidden, a marker
+    names the files they replace, these are deleted, and the merged files are shown.  A run that finds
+    a marker finishes that switch first; without one it drops hidden files.  Returns the hours merged.
+    """
+    hours = [since + timedelta(hours=n) for n in range(int((until - since) / timedelta(hours=1)))]
+    folders = {hour_folder(hour): Folder(spark, f"{path.rstrip('/')}/{hour_folder(hour)}") for hour in hours}
+    for folder in folders.values():
+        _finish_switch(folder)
+    files = {name: _shown(folder) for name, folder in folders.items()}
+    chosen = [name for name, names in files.items() if len(names) > 1]
+    if not chosen:
+        return 0
+    paths = [f"{folders[name].path}/{file}" for name in chosen for file in files[name]]
+    rows = _reader(spark, EVENT_SCHEMA, file_format).option("basePath", path).load(paths)
+    staging = Folder(spark, f"{path.rstrip('/')}/{STAGING}/{COMPACTED}-{uuid4().hex}")
+    _stage(_gathered(rows, list(ARRIVAL_PARTITIONS)), staging.path, list(ARRIVAL_PARTITIONS), file_format)
+    for name, merged in _by_folder(staging).items():
+        for file in merged:
+            folders[name].move(f"{staging.path}/{name}/{file}", f"{HIDDEN}{file}")
+        folders[name].write_lines(MARKER, files[name])
+        _finish_switch(folders[name])
+    staging.delete()
+    return len(chosen)
+
+
+def _shown(folder: Folder) -> list[str]:
+    return [name for name in folder.names() if name[0] not in "._"]
+
+
+def _finish_switch(folder: Folder) -> None:
+    names = folder.names()
+    hidden = [name for name in names if name.startswith(HIDDEN)]
+    if MARKER in names:
+        for old in folder.read_lines(MARKER):
+            folder.delete(old)
+        for name in hidden:
+            folder.move(f"{folder.path}/{name}", f"{COMPACTED}-{name.removeprefix(HIDDEN)}")
+        folder.delete(MARKER)
+    else:
+        for name in hidden:
+            folder.delete(name)
+
+
+def _reader(spark: SparkSession, schema: T.StructType, file_format: str):
     reader = spark.read.schema(schema).format(file_format)
-    if file_format == "json":
-        reader = reader.option("timestampFormat", TIMESTAMP_FORMAT)
-    return reader.load(path)
+    return reader.option("timestampFormat", TIMESTAMP_FORMAT) if file_format == "json" else reader
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, file_format: str) -> DataFrame:
+    return _reader(spark, schema, file_format).load(path)
+
+
+def read_window(
+    spark: SparkSession,
+    path: str,
+    first: date,
+    last: date,
+    file_format: str = DEFAULT_FORMAT,
+) -> DataFrame:
+    """Events that arrived on the days given, with their write key; only these folders are listed."""
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    lake = Folder(spark, path)
+    found = [day for day in (f"{d:year=%Y/month=%m/day=%d}" for d in days) if lake.exists(day)]
+    if not found:
+        return spark.createDataFrame([], EVENT_SCHEMA)
+    reader = _reader(spark, EVENT_SCHEMA, file_format).option("basePath", path)
+    return reader.load([f"{path.rstrip('/')}/{day}" for day in found])
 
 
 def read_written(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,12 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from plateflow.operators.enrichment import enrich
 from plateflow.operators.validation import ACCEPTED, accepted_events, rejected_events, validate_events
 from plateflow.schema import ARRIVAL_PARTITIONS, WRITE_KEY
-from plateflow.sources.catalog import register_partitions
-from plateflow.sources.lake import DEFAULT_FORMAT, land_events, land_rejects, read_written
+from plateflow.sources.catalog import register_folders
+from plateflow.sources.lake import DEFAULT_FORMAT, land_events, land_rejects, read_window
 
-# Buffering of the delivery stage.
+# Fixed value: buffering of the delivery stage.
 FLUSH_INTERVAL = "60 seconds"
-FLUSH_BYTES = 5_242_880
 
 OBSERVATION = "ingest"
 HOUR_FOLDER = "yyyy-MM-dd-HH"
@@ -51,37 +49,42 @@ def drop_repeated_ids(
 ) -> DataFrame:
     """Keep one accepted row per ``event_id`` that no other write has landed; rejects are untouched.
 
-    Repeats inside the batch are merged before the shuffle, so an id that fills much of the batch
-    costs one row per task.  Both sides of the join then hold each id once per landed write.
+    Of repeats the one with the least text stays, so a batch that runs again lands the same rows.  The
+    choice is an aggregate over ids and texts, merged before the shuffle, so an id that fills much of
+    the batch costs one row per task.
     """
-    accepted = accepted_events(judged).dropDuplicates(["event_id"])
+    accepted = accepted_events(judged)
+    columns = [name for name in accepted.columns if name != "event_id"]
+    first = F.min_by(F.struct(*columns), "value").alias("row")
+    chosen = accepted.groupBy("event_id").agg(first).select("event_id", "row.*").select(*accepted.columns)
     if landed is not None:
         earlier = landed.filter(F.col(WRITE_KEY) != write_key).select("event_id")
-        accepted = accepted.join(earlier, "event_id", "left_anti")
-    return accepted.unionByName(rejected_events(judged))
+        chosen = chosen.join(earlier, "event_id", "left_anti")
+    return chosen.unionByName(rejected_events(judged))
 
 
-def landed_ids(target: IngestTarget, batch: DataFrame, hours: int) -> DataFrame | None:
+def landed_ids(target: IngestTarget, batch: DataFrame, hours: int) -> DataFrame:
     """Ids in the lake from the arrival hours of ``batch`` and the ``hours`` before them."""
-    spark = batch.sparkSession
     span = batch.agg(
-        F.date_format(F.min("ingested_at") - F.make_dt_interval(hours=F.lit(hours)), HOUR_FOLDER),
-        F.date_format(F.max("ingested_at"), HOUR_FOLDER),
+        (F.min("ingested_at") - F.make_dt_interval(hours=F.lit(hours))).alias("first"),
+        F.max("ingested_at").alias("last"),
+    ).select(
+        *(F.date_format(name, HOUR_FOLDER).alias(f"{name}_hour") for name in ("first", "last")),
+        *(F.to_date(name).alias(f"{name}_day") for name in ("first", "last")),
     ).first()
-    try:
-        lake = read_written(spark, target.events, target.file_format)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if span["first_day"] is None:
+        return batch.select("event_id", F.lit("").alias(WRITE_KEY)).limit(0)
+    lake = read_window(
+        batch.sparkSession, target.events, span["first_day"], span["last_day"], target.file_format
+    )
     folder = F.concat_ws("-", *ARRIVAL_PARTITIONS)
-    return lake.filter(folder.between(span[0], span[1])).select("event_id", WRITE_KEY)
+    return lake.filter(folder.between(span["first_hour"], span["last_hour"])).select("event_id", WRITE_KEY)
 
 
 def land_batch(target: IngestTarget, dedup_hours: int | None = None, one_hour: bool = True):
     """The ``foreachBatch`` function: both sinks from one evaluation of the batch.
 
-    Every folder written carries the batch id, so running a batch again after a failure replaces
+    Every file written carries the batch id, so running a batch again after a failure replaces
     exactly what the first attempt wrote.  Rows stamped by the batch time share one hour.
     """
 
@@ -92,15 +95,10 @@ def land_batch(target: IngestTarget, dedup_hours: int | None = None, one_hour: b
             rows = judged
             if dedup_hours is not None:
                 rows = drop_repeated_ids(judged, landed_ids(target, judged, dedup_hours), key)
-            land_events(rows, target.events, key, target.file_format, one_hour)
+            folders = land_events(rows, target.events, key, target.file_format, one_hour)
             land_rejects(judged, target.quarantine, key, target.file_format)
             if target.table is not None:
-                hours = accepted_events(rows).select(*ARRIVAL_PARTITIONS).distinct().collect()
-                register_partitions(
-                    batch.sparkSession,
-                    target.table,
-                    [{**hour.asDict(), WRITE_KEY: key} for hour in hours],
-                )
+                register_folders(batch.sparkSession, target.table, folders)
         finally:
             judged.unpersist()
 

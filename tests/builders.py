@@ -12,14 +12,14 @@ from plateflow.schema import ARRIVAL_PARTITIONS, EVENT_COLUMNS
 
 VALID = {
     "event_id": "e1",
-    "restaurant_id": "rest_001",
+    "restaurant_id": "harbour",
     "session_id": "s1",
-    "timestamp": "2024-03-15T14:32:01.123Z",
+    "timestamp": "2024-03-15T08:05:44.250Z",
     "event_type": "view",
-    "menu_item_id": "pizza_001",
-    "menu_item_name": "Margherita",
+    "menu_item_id": "p7",
+    "menu_item_name": "Four cheeses",
     "category": "Pizza",
-    "price": 13.99,
+    "price": 11.25,
     "device_type": "mobile",
 }
 

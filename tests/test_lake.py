@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,29 +12,34 @@ from plateflow.operators.validation import validate_events
 from plateflow.operators.windows import arrival_window
 from plateflow.plans.categories import category_analysis
 from plateflow.plans.items import popular_items
-from plateflow.plans.suite import run_reports
+from plateflow.plans.registry import REPORTS
+from plateflow.plans.suite import run_reports, window_days
 from plateflow.schema import ARRIVAL_PARTITIONS
 from plateflow.sources.catalog import (
     create_event_table,
+    create_quarantine_table,
     payload_drift,
     read_event_table,
     register_partitions,
     schema_drift,
     sync_partitions,
+    sync_since,
 )
+from plateflow.sources.files import Folder
 from plateflow.sources.guard import (
     ScanLimitExceeded,
     check_scan,
     guard_scan,
     lake_scan_bytes,
-    table_scan_bytes,
 )
 from plateflow.sources.lake import (
+    compact_hours,
     land_events,
     land_rejects,
     read_events,
     read_flat_events,
     read_quarantine,
+    read_written,
 )
 from plateflow.sources.scratch import scratch_folder
 
@@ -63,30 +69,100 @@ def test_round_trip(spark, tmp_path, file_format):
     rows = rows_of(read_events(spark, path, file_format).withColumn("extra", F.to_json("extra")))
     rows.sort(key=lambda r: r["event_id"])
     assert [str(r["ingested_at"]) for r in rows] == STAMPS
-    assert str(rows[0]["event_ts"]) == "2024-03-15 14:32:01.123000"
+    assert str(rows[0]["event_ts"]) == "2024-03-15 08:05:44.250000"
     assert [(r["year"], r["month"], r["day"], r["hour"]) for r in rows] == [
         ("2024", "02", "29", "23"), ("2024", "03", "01", "00"), ("2024", "03", "05", "10"),
     ]
-    assert all(r["price"] == 13.99 and json.loads(r["extra"]) == {"platform": "ios"} for r in rows)
+    assert all(r["price"] == 11.25 and json.loads(r["extra"]) == {"platform": "ios"} for r in rows)
 
 
 def test_one_gzip_json_line_per_event(spark, tmp_path):
     path = str(tmp_path / "lake")
-    land_events(judged(spark, [STAMPS[0]] * 3), path)
+    land_events(judged(spark, [STAMPS[0]] * 3), path, "k7", "json")
     files = files_below(path, ".json.gz")
-    assert [os.path.dirname(f) for f in files] == ["year=2024/month=02/day=29/hour=23/batch_id=0"]
+    assert [os.path.dirname(f) for f in files] == ["year=2024/month=02/day=29/hour=23"]
+    assert os.path.basename(files[0]).startswith("k7-")
     lines = gzip.open(os.path.join(path, files[0]), "rt").read().splitlines()
-    assert len(lines) == 3 and json.loads(lines[0])["menu_item_id"] == "pizza_001"
+    assert len(lines) == 3 and json.loads(lines[0])["menu_item_id"] == "p7"
 
 
 def test_repeated_write_replaces_only_itself(spark, tmp_path):
     path = str(tmp_path / "lake")
     land_events(judged(spark), path, "1")
     land_events(judged(spark, STAMPS[:1]), path, "2")
-    before = files_below(path, ".gz")
+    before = files_below(path, ".parquet")
     land_events(judged(spark, STAMPS[:1]), path, "2")
     assert read_events(spark, path).count() == 4
-    assert len(files_below(path, ".gz")) == len(before)
+    assert len(files_below(path, ".parquet")) == len(before) == 4
+
+
+def test_folders_do_not_depend_on_the_number_of_writes(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    for key in range(5):
+        land_events(judged(spark), path, key)
+    hours = {os.path.dirname(f) for f in files_below(path, ".parquet")}
+    assert len(hours) == 3 and read_events(spark, path).count() == 15
+
+
+def test_failed_publishing_is_repeated(spark, tmp_path, monkeypatch):
+    """A sink that fails midway leaves nothing doubled when its batch runs again."""
+    path = str(tmp_path / "lake")
+    move = Folder.move
+    moved = []
+
+    def failing(self, source, name):
+        if len(moved) == 2:
+            raise OSError("disk gone")
+        moved.append(name)
+        move(self, source, name)
+
+    monkeypatch.setattr(Folder, "move", failing)
+    with pytest.raises(OSError):
+        land_events(judged(spark), path, "1")
+    monkeypatch.undo()
+    land_events(judged(spark), path, "1")
+    assert read_events(spark, path).count() == 3
+
+
+HOUR = datetime(2024, 2, 29, 23)
+
+
+def test_compaction(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "lake")
+    for key in range(3):
+        land_events(judged(spark, [STAMPS[0]] * 2), path, key)
+    land_events(judged(spark, STAMPS[1:2]), path, "9")
+    assert compact_hours(spark, path, HOUR, HOUR + timedelta(hours=2)) == 1
+    folders = [os.path.dirname(f) for f in files_below(path, ".parquet")]
+    assert len(folders) == len(set(folders)) == 2
+    rows = rows_of(read_written(spark, path).drop("extra"))
+    assert sorted(r["batch_id"] for r in rows) == ["0", "0", "1", "1", "2", "2", "9"]
+    assert compact_hours(spark, path, HOUR, HOUR + timedelta(hours=2)) == 0
+
+
+@pytest.mark.parametrize("step", ["write_lines", "delete", "move"])
+def test_interrupted_compaction_loses_nothing(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "lake")
+    for key in range(3):
+        land_events(judged(spark, [STAMPS[0]] * 2), path, key)
+    plain = getattr(Folder, step)
+    calls = []
+
+    def failing(self, *args):
+        if len(calls) == 1:
+            raise OSError("driver gone")
+        calls.append(args)
+        plain(self, *args)
+
+    monkeypatch.setattr(Folder, step, failing)
+    try:
+        compact_hours(spark, path, HOUR, HOUR + timedelta(hours=1))
+    except OSError:
+        pass
+    monkeypatch.undo()
+    compact_hours(spark, path, HOUR, HOUR + timedelta(hours=1))
+    assert read_events(spark, path).count() == 6
+    assert len(files_below(path, ".parquet")) == 1
 
 
 def test_quarantine_folders(spark, tmp_path):
@@ -109,7 +185,7 @@ def test_flat_lake_of_another_producer(spark, tmp_path):
     )[0]
     assert (row["price"], row["month"], row["extra"]) == (8.99, "03", '{"platform":"ios"}')
     assert str(row["ingested_at"]) == "2024-03-01 07:00:00.500000"
-    assert str(row["event_ts"]) == "2024-03-15 14:32:01.123000"
+    assert str(row["event_ts"]) == "2024-03-15 08:05:44.250000"
 
 
 def plan_of(df):
@@ -142,38 +218,50 @@ def test_catalog_table(spark, tmp_path):
     assert read_event_table(spark, "synced_events").count() == 0
     sync_partitions(spark, "synced_events")
     assert read_event_table(spark, "synced_events", "default").count() == 3
-    land_events(judged(spark, STAMPS[:1]), path, "2")
-    parts = dict(zip([*ARRIVAL_PARTITIONS, "batch_id"], ["2024", "02", "29", "23", "2"]))
+    land_events(judged(spark, ["2024-03-06 07:30:00"]), path, "2")
+    parts = dict(zip(ARRIVAL_PARTITIONS, ["2024", "03", "06", "07"]))
     register_partitions(spark, "synced_events", [parts])
     register_partitions(spark, "synced_events", [parts])
-    rows = rows_of(read_event_table(spark, "synced_events"))
+    rows = rows_of(read_event_table(spark, "synced_events").drop("extra"))
     assert len(rows) == 4 and {r["month"] for r in rows} == {"02", "03"}
 
 
+def test_sync_looks_at_the_given_hours_only(spark, tmp_path):
+    path = str(tmp_path / "the cook's lake")
+    land_events(judged(spark), path, "1")
+    land_rejects(judged(spark, event_type="VIEW"), f"{path}-rejects")
+    create_event_table(spark, "recent_events", path)
+    create_quarantine_table(spark, "recent_rejects", f"{path}-rejects")
+    since, until = datetime(2024, 3, 1), datetime(2024, 3, 6)
+    assert sync_since(spark, "recent_events", path, since, until) == 2
+    assert sync_since(spark, "recent_rejects", f"{path}-rejects", since, until) == 2
+    assert read_event_table(spark, "recent_events").count() == 2
+    assert spark.table("recent_rejects").filter("error_type = 'domain'").count() == 2
+
+
 def test_scan_guard(spark, tmp_path):
     path = str(tmp_path / "lake")
     land_events(judged(spark), path, "1")
-    sizes = [os.path.getsize(os.path.join(path, f)) for f in files_below(path, ".gz")]
+    sizes = [os.path.getsize(os.path.join(path, f)) for f in files_below(path, ".parquet")]
     assert lake_scan_bytes(spark, path) == sum(sizes)
     window = lake_scan_bytes(spark, path, "2024-03-05", 5)
     assert window == sum(sizes[1:])
     assert lake_scan_bytes(spark, path, "2020-01-01", 5) == 0
-    create_event_table(spark, "guarded_events", path)
-    sync_partitions(spark, "guarded_events")
-    recent = arrival_window(read_event_table(spark, "guarded_events"), "2024-03-05", 5)
-    assert table_scan_bytes(recent) == window
-    assert guard_scan(recent) is recent
+    assert guard_scan(spark, path, "2024-03-05", 5) == window
     with pytest.raises(ScanLimitExceeded):
-        guard_scan(recent, 10)
+        guard_scan(spark, path, "2024-03-05", 5, max_bytes=10)
     assert check_scan(10, 10) == 10
-    table = read_event_table(spark, "guarded_events")
-    names = ["popular_items"]
-    refused = run_reports(spark, table, names, "2024-03-05", max_bytes=10)[0]
+    lake, names = read_events(spark, path), ["popular_items"]
+    refused = run_reports(spark, lake, names, "2024-03-05", max_bytes=10, lake=path)[0]
     assert refused.status == "FAILED" and "limit is 10" in refused.error
-    within = run_reports(spark, table, names, "2024-03-05", max_bytes=sum(sizes))
-    assert within[0].status == "SUCCEEDED"
-    recent_only = run_reports(spark, table, names, "2020-01-01", max_bytes=10)
-    assert recent_only[0].rows == []
+    within = run_reports(spark, lake, names, "2024-03-05", max_bytes=sum(sizes), lake=path)[0]
+    assert within.status == "SUCCEEDED"
+    empty = run_reports(spark, lake, names, "2020-01-01", max_bytes=10, lake=path)[0]
+    assert empty.rows == []
+    with pytest.raises(ValueError):
+        run_reports(spark, lake, names, max_bytes=10)
+    assert [window_days(REPORTS[n]) for n in ("popular_items", "device_dropoff", "heatmap")] == [7, 14, 7]
+    assert [window_days(REPORTS[n]) for n in ("events_by_device", "revenue_kpi")] == [None, None]
 
 
 def test_drift(spark, tmp_path):

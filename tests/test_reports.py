@@ -24,7 +24,7 @@ from plateflow.plans.health import (
 from plateflow.plans.hours import heatmap, hourly_trends
 from plateflow.plans.items import popular_items
 from plateflow.plans.sessions import session_funnel
-from plateflow.sources.demo_tables import AS_OF, base_events, clickstream
+from demo_tables import AS_OF, base_events, clickstream
 
 
 def ids(df):
@@ -57,7 +57,7 @@ def test_two_ids_with_one_name_are_two_rows(spark):
     )
     rows = rows_of(popular_items(events, "2024-03-01"))
     assert [(r["menu_item_name"], r["total_interactions"]) for r in rows] == [
-        ("Margherita", 2), ("Margherita", 1),
+        ("Four cheeses", 2), ("Four cheeses", 1),
     ]
 
 

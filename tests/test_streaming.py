@@ -1,6 +1,7 @@
 import json
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from builders import payload_text, rows_of
@@ -8,9 +9,10 @@ from plateflow.operators.enrichment import enrich
 from plateflow.operators.validation import validate_events
 from plateflow.plans.health import ingest_rate_5min
 from plateflow.sources.catalog import create_event_table, read_event_table
-from plateflow.sources.lake import read_events, read_quarantine
+from plateflow.sources.lake import read_events, read_quarantine, read_written
 from plateflow.sources.payloads import read_payloads
-from plateflow.streaming.ingest import FLUSH_BYTES, IngestTarget, land_batch, start_ingest
+from plateflow.streaming import ingest as ingest_module
+from plateflow.streaming.ingest import IngestTarget, drop_repeated_ids, land_batch, start_ingest
 from plateflow.streaming.metrics import start_metric
 from plateflow.streaming.progress import DurationListener
 
@@ -91,6 +93,33 @@ def test_repeated_ids_land_once_when_asked(spark, tmp_path):
     assert read_quarantine(spark, target.quarantine).count() == 4
 
 
+def test_batch_restarts_from_the_checkpoint_after_a_failed_sink(spark, tmp_path, monkeypatch):
+    source = add_file(tmp_path, "a.txt", TEXTS)
+    target = target_in(tmp_path)
+    plain = ingest_module.land_rejects
+
+    def failing(*args):
+        raise OSError("quarantine gone")
+
+    monkeypatch.setattr(ingest_module, "land_rejects", failing)
+    with pytest.raises(Exception, match="quarantine gone"):
+        ingest(spark, source, target)
+    assert read_events(spark, target.events).count() == 20
+    monkeypatch.setattr(ingest_module, "land_rejects", plain)
+    ingest(spark, source, target)
+    assert read_events(spark, target.events).count() == 20
+    assert read_quarantine(spark, target.quarantine).count() == 2
+
+
+def test_same_repeat_is_chosen_each_time(spark, tmp_path):
+    texts = [payload_text(event_id="e", price=p) for p in (9, 3, 5)]
+    stamp = F.to_timestamp(F.lit("2024-03-01 10:00:00"))
+    batch = validate_events(enrich(read_payloads(spark, add_file(tmp_path, "a.txt", texts)), stamp))
+    for order in ("value", "price"):
+        (row,) = rows_of(drop_repeated_ids(batch.orderBy(F.desc(order))).select("event_id", "price"))
+        assert row["price"] == 3
+
+
 def test_repeated_ids_are_kept_by_default(spark, tmp_path):
     target = target_in(tmp_path)
     ingest(spark, add_file(tmp_path, "a.txt", TEXTS + TEXTS[:5]), target)
@@ -103,9 +132,8 @@ def test_batches_can_be_capped(spark, tmp_path):
     target = target_in(tmp_path)
     stream = read_payloads(spark, source, streaming=True, max_bytes_per_trigger=1)
     start_ingest(stream, target, available_now=True).awaitTermination()
-    lake = spark.read.json(target.events)
+    lake = read_written(spark, target.events)
     assert lake.select("batch_id").distinct().count() == 3
-    assert FLUSH_BYTES == 5 * 1024 * 1024
 
 
 def test_counts_are_observed(spark, tmp_path):

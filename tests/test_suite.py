@@ -1,10 +1,16 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
-from builders import at, event_frame
-from plateflow.plans.registry import CORE_REPORTS, REPORTS
+from builders import at, event_frame, payload_frame, payload_text
+from plateflow.operators.enrichment import enrich
+from plateflow.operators.validation import validate_events
+from plateflow.plans import suite
+from plateflow.plans.registry import CORE_REPORTS, INGEST_REPORTS, REPORTS
 from plateflow.plans.suite import (
     fetch,
+    read_report,
     refresh_report_tables,
     register_report_view,
     run_reports,
@@ -51,16 +57,68 @@ def test_unknown_name_is_refused(spark, events):
 
 def test_fetch_shows_null_as_empty_and_is_bounded(spark):
     frame = spark.range(100).select(F.lit(None).cast("string").alias("a"), F.lit(1).alias("b"))
-    columns, rows = fetch(frame)
-    assert columns == ["a", "b"] and len(rows) == 30 and rows[0] == ["", "1"]
+    got = fetch(frame)
+    assert got.columns == ["a", "b"] and len(got.rows) == 30 and got.rows[0] == ["", "1"]
+    assert got.truncated and not fetch(frame.limit(30)).truncated
+    everything = fetch(frame, None)
+    assert len(everything.rows) == 100 and not everything.truncated
+
+
+def test_truncation_is_told(spark, events):
+    (result,) = run_reports(spark, events, ["calculated_fields"], "2024-03-01")
+    assert (result.status, len(result.rows), result.truncated) == ("SUCCEEDED", 30, True)
+    (result,) = run_reports(spark, events, ["calculated_fields"], "2024-03-01", max_rows=None)
+    assert (len(result.rows), result.truncated) == (50, False)
 
 
 def test_tables_are_replaced(spark, events, tmp_path):
     out = str(tmp_path)
-    for _ in range(2):
+    for _ in range(4):
         results = refresh_report_tables(spark, events, out, ["events_by_device"], "2024-03-01")
     assert spark.read.parquet(results[0].rows[0][0]).count() == 1
-    assert write_report(spark.range(3), "x", out + "/") == f"{out}/x"
+    assert len(list((tmp_path / "events_by_device").iterdir())) == 2
+    write_report(spark.range(3), "x", out + "/")
+    write_report(spark.range(5), "x", out)
+    assert read_report(spark, "x", out).count() == 5
+    with pytest.raises(FileNotFoundError):
+        read_report(spark, "nothing", out)
+
+
+def test_stopped_refresh_leaves_the_old_rows(spark, events, tmp_path):
+    out = str(tmp_path)
+    refresh_report_tables(spark, events, out, ["calculated_fields"], "2024-03-01")
+
+    def slow(frame, as_of):
+        return spark.range(10**12, numPartitions=8).filter(F.hash("id") == 1)
+
+    (result,) = refresh_report_tables(
+        spark, events, out, ["calculated_fields"], max_wait=3, reports={"calculated_fields": slow}
+    )
+    assert result.status == "TIMEOUT"
+    assert read_report(spark, "calculated_fields", out).count() == 50
+
+
+def test_report_that_cannot_be_stopped_is_left(spark, events, monkeypatch):
+    monkeypatch.setattr(suite, "STOP_SECONDS", 1)
+    gate = threading.Event()
+
+    def stuck(frame, as_of):
+        gate.wait(60)
+        return frame
+
+    (result,) = run_reports(spark, events, ["stuck"], max_wait=0.5, reports={"stuck": stuck})
+    gate.set()
+    assert result.status == "TIMEOUT"
+
+
+def test_ingest_reports_run_in_the_suite(spark):
+    stamp = F.to_timestamp(F.lit("2024-03-01 10:00:00"))
+    judged = validate_events(enrich(payload_frame(spark, ["junk"] * 12 + [payload_text()]), stamp))
+    results = run_reports(spark, judged, INGEST_REPORTS, "2024-03-01", reports=INGEST_REPORTS)
+    assert [r.status for r in results] == ["SUCCEEDED"] * 4
+    by_name = {r.name: r.rows for r in results}
+    assert by_name["ingest_error_alarm"][0][2] == "12"
+    assert INGEST_REPORTS["rejection_summary"](judged, "2024-02-01", days=7).count() == 0
 
 
 def test_report_as_relation(spark, events):

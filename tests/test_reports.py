@@ -1,4 +1,5 @@
-from datetime import date
+import inspect
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ from plateflow.plans.health import (
 )
 from plateflow.plans.hours import heatmap, hourly_trends
 from plateflow.plans.items import popular_items
+from plateflow.plans.registry import REPORTS
 from plateflow.plans.sessions import session_funnel
+from plateflow.plans.suite import window_days
 from demo_tables import AS_OF, base_events, clickstream
 
 
@@ -248,3 +251,67 @@ def test_summary_warns_above_ten_percent(spark):
 def test_test_table_is_whole(spark, sf_dir):
     source = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert base_events(spark, sf_dir).count() == source.count()
+
+
+def test_rows_come_in_the_stated_order(spark):
+    events = event_frame(
+        spark,
+        [
+            {
+                "timestamp": at("2024-03-01", n % 24),
+                "category": ("Pizza", "Drinks", "Salads")[n % 3],
+                "event_type": ("view", "order", "click", "add_to_cart")[n % 4],
+                "device_type": ("web", "mobile", "kiosk", "web", "mobile")[n % 5],
+                "restaurant_id": ("b", "a")[n % 2],
+            }
+            for n in range(60)
+        ],
+    )
+    for report in (category_analysis, category_analysis_joined):
+        rows = [(r.category, r.event_type) for r in report(events, "2024-03-01").collect()]
+        assert rows == sorted(rows)
+    rows = [(r.restaurant_id, -r.event_count, r.device_type) for r in device_breakdown(events, "2024-03-01").collect()]
+    assert rows == sorted(rows) and len(rows) == 6
+    rows = [(r.day_num, r.hour_of_day, r.event_type) for r in hourly_trends(events, "2024-03-01").collect()]
+    assert rows == sorted(rows)
+
+
+def test_window_ends_today_by_default(spark):
+    now = datetime.now(timezone.utc)
+    stamps = [now, now - timedelta(days=6), now - timedelta(days=8)]
+    events = event_frame(spark, [{"timestamp": f"{s:%Y-%m-%dT%H:%M:%SZ}"} for s in stamps])
+    assert popular_items(events).first()["total_interactions"] == 2
+
+
+@pytest.mark.parametrize("name", [n for n, r in REPORTS.items() if window_days(r) is None])
+def test_window_of_unbounded_reports(spark, name):
+    """All of time by default, arrival days where these are given."""
+    events = event_frame(spark, [{"timestamp": at(day), "session_id": day} for day in ("2024-01-01", "2024-03-01")])
+    report = REPORTS[name]
+    if inspect.signature(report).parameters["days"].default is not None:
+        pytest.skip("its window is over event times")
+
+    def rows(frame):
+        return frame.drop("extra").collect()
+
+    week, quarter = (rows(report(events, "2024-03-01", days=n)) for n in (7, 90))
+    assert week != quarter and quarter == rows(report(events))
+
+
+def test_unreadable_times_are_left_out(spark):
+    events = event_frame(
+        spark, [{"timestamp": at("2024-03-01", 5)}, {"timestamp": "soon", "ingested_at": at("2024-03-01")}]
+    )
+    for name in ("hourly_profile", "device_daily_trend", "category_daily_views"):
+        assert REPORTS[name](events).count() == 1
+    assert clock_skew(events).first()["unparsed"] == 1
+
+
+def test_skew_below_a_second(spark):
+    events = event_frame(
+        spark,
+        [{"timestamp": f"2024-03-01T00:00:00.{n:03d}Z", "ingested_at": "2024-03-01T00:00:01Z"} for n in range(1000)],
+    )
+    row = clock_skew(events).first()
+    assert row["p95_skew_s"] == pytest.approx(0.951, rel=0.01)
+    assert row["max_skew_s"] == 1.0 and row["min_skew_s"] == pytest.approx(0.001)

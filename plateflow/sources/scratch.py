@@ -31,5 +31,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         _delete_at_exit(spark, folder)
         return f"{folder}/data"
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"plateflow-{name}-")
+        folder = tempfile.mkdtemp(prefix=f"plateflow-{name}-")
+        _delete_at_exit(spark, f"file://{folder}")
+        return f"{folder}/data"
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")

@@ -125,7 +125,8 @@ def _substrings() -> str:
 WITH cut AS (
     SELECT doc_id, i, units[i] AS unit
     FROM (SELECT doc_id, units, unnest(range(1, len(units) + 1)) AS i
-          FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\\n]*[.!?\\n]+|[^.!?\\n]+') AS units FROM documents))
+          FROM (SELECT doc_id, regexp_extract_all(text,
+              '[^.!?\\n]*?[\\p{{L}}\\p{{N}}]{{{substring_dedup.LONG_WORD},}}[.!?\\n]*|[^.!?\\n]*[.!?\\n]+|[^.!?\\n]+') AS units FROM documents))
 ),
 placed AS (
     SELECT doc_id, i, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY i) AS unit_end, length(unit) AS size,

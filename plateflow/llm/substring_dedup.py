@@ -1,7 +1,9 @@
 """Repeated passages by hashing text units.
 
-The method: texts are cut into units, lines and the sentences in them; units are normalised to their
-words in lower case and hashed to 128 bits; digests are grouped over the corpus; the occurrence of the
+The method: texts are cut into units: at ends of lines and sentences, and after each word of
+``LONG_WORD`` letters or more, so that a passage put into the middle of a sentence is cut alike from its
+first long word on.  Units are normalised to their words in lower case and hashed to 128 bits; digests
+are grouped over the corpus; the occurrence of the
 lowest rank, which is the order of document ids and of places in a text, is kept and the others are
 removed, with their offsets in the original text.  A chance repeat of a short unit is no passage: of
 consecutive repeated units, a run is removed only if it has ``MIN_WORDS`` words or more.
@@ -32,12 +34,39 @@ from plateflow.llm.common import fresh_names, materialise
 
 MIN_WORDS = 25
 
-# A unit runs up to the end of a sentence or line.  Units tile the text.
-_UNIT = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
-_WORD = re.compile(r"[^\W_]+")
+LONG_WORD = 10
+
+_TOKEN = re.compile(r"[^\W_]+|[.!?\n]+")
 _SCHEMA = "doc_id bigint, t bigint, unit int, start int, end int, words int, d1 bigint, d2 bigint"
 
 
+def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each unit with words.
+
+    Together with the stretches between that have no word, units tile the text: a unit begins where
+    the last one ended, and full stops right after a long word are its unit's.
+    """
+    start, end, words, closed = 0, 0, [], False
+    for token in _TOKEN.finditer(text):
+        stop = token[0][0] in ".!?\n"
+        if closed and not (stop and token.start() == end):
+            yield start, end, words
+            start, words, closed = end, [], False
+        end = token.end()
+        if closed:
+            continue
+        if stop:
+            if words:
+                closed = True
+            else:
+                start = end
+        else:
+            words.append(token[0])
+            closed = len(token[0]) >= LONG_WORD
+    if words:
+        yield start, end if closed else len(text), words
+
+
 def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_128_intdigest
     names = [field.split()[0] for field in _SCHEMA.split(", ")]
@@ -46,15 +75,11 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ids, keys, texts = (batch.column(k).to_pylist() for k in range(3))
         rows: list[tuple] = []
         for doc, key, text in zip(ids, keys, texts):
-            number = 0
-            for match in _UNIT.finditer(text or ""):
-                words = _WORD.findall(match[0].lower())
-                if words:
-                    value = digest(" ".join(words).encode("utf-8", "surrogatepass"))
-                    high = (value >> 64) - ((value >> 127) << 64)
-                    low = (value & (1 << 64) - 1) - ((value >> 63 & 1) << 64)
-                    rows.append((doc, key, number, *match.span(), len(words), high, low))
-                    number += 1
+            for number, (start, end, words) in enumerate(units_of(text or "")):
+                value = digest(" ".join(words).lower().encode("utf-8", "surrogatepass"))
+                high = (value >> 64) - ((value >> 127) << 64)
+                low = (value & (1 << 64) - 1) - ((value >> 63 & 1) << 64)
+                rows.append((doc, key, number, start, end, len(words), high, low))
             if len(rows) > 20_000:
                 yield _batch(rows, names, kinds)
                 rows = []
@@ -93,7 +118,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "unit-digests",
     )
     places = materialise(units.join(twice, ["d1", "d2"]).distinct(), "unit-places")
-    firsts = places.groupBy("d1", "d2").agg(F.min(_rank()).alias("first"))
+    # Written, so that the join below sees two plain inputs and can be split at a hot unit.
+    firsts = materialise(
+        places.groupBy("d1", "d2").agg(F.min(_rank()).alias("first")), "unit-firsts"
+    )
     later = places.join(firsts, ["d1", "d2"]).filter(_rank() > F.col("first"))
     of_doc = Window.partitionBy("doc_id", "t").orderBy("unit")
     runs = later.withColumn("run", F.col("unit") - F.row_number().over(of_doc))

@@ -1,4 +1,9 @@
-from plateflow.llm.substring_dedup import remove_repeats, repeated_spans
+import re
+
+from hypothesis import given
+from hypothesis import strategies as st
+
+from plateflow.llm.substring_dedup import LONG_WORD, remove_repeats, repeated_spans, units_of
 
 PASSAGE = (
     "The council met on the first day of spring. It spoke at length about the bridge over the river!"
@@ -22,6 +27,30 @@ def test_passage_in_the_middle_of_lines(spark):
     assert [(x.start, x.end) for x in cleaned[2].removed_spans] == [(row.start, row.end)]
 
 
+def test_passage_in_the_middle_of_a_sentence(spark):
+    """Found from its first long word on, and up to its last one."""
+    own = [f"so they said {n} things about" for n in ("three", "eleven", "twenty")]
+    middle = "administration of the countryside was a considerable undertaking for all of them"
+    long = " ".join(f"{middle} in year {k}" for k in range(5))
+    docs = [(k, f"{text} {long} and then they went home {k} times") for k, text in enumerate(own)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = repeated_spans(frame).collect()
+    assert sorted((r.doc_id, r.first_doc_id) for r in rows) == [(1, 0), (2, 0)]
+    assert all(docs[r.doc_id][1][r.start : r.end].strip() in long and r.n_words > 50 for r in rows)
+
+
+@given(st.text(alphabet="ab .!?\n_,é" + "internationally"))
+def test_units_follow_the_stated_pattern(text):
+    """The same units as one regular expression cuts."""
+    pattern = rf"[^.!?\n]*?[^\W_]{{{LONG_WORD},}}[.!?\n]*|[^.!?\n]*[.!?\n]+|[^.!?\n]+"
+    want = [
+        (m.start(), m.end(), words)
+        for m in re.finditer(pattern, text)
+        if (words := re.findall(r"[^\W_]+", m[0]))
+    ]
+    assert list(units_of(text)) == want
+
+
 def test_short_repeats_stay(spark):
     frame = spark.createDataFrame([(k, "All rights reserved. Page top.") for k in range(5)], "doc_id long, text string")
     assert repeated_spans(frame).count() == 0

@@ -27,6 +27,7 @@ from plateflow.plans.health import (
 )
 from plateflow.plans.registry import REPORTS
 from plateflow.schema import ARRIVAL_PARTITIONS
+from plateflow.plans.rollup import daily_rollup, rolled_up
 from plateflow.plans.suite import read_report, refresh_report_tables, run_reports
 from plateflow.sources.catalog import create_event_table, payload_drift, read_event_table, sync_since
 from demo_tables import AS_OF, base_events, clickstream, derive_events, payload_lines
@@ -247,6 +248,9 @@ def queries() -> dict[str, Query]:
         "of_types": _over_events(
             lambda e: of_types(e, "order", "add_to_cart").select("event_id", "event_type")
         ),
+        "rolled_up_categories": _over_events(
+            lambda e: rolled_up(daily_rollup(e), "category", "event_type", as_of=AS_OF, days=7)
+        ),
         "category_analysis_joined": _over_events(lambda e: category_analysis_joined(e, AS_OF)),
         "validate_events": _over_judged(
             lambda j: j.select(

@@ -261,6 +261,10 @@ EVENT_QUERIES = {
                          WHERE event_date BETWEEN {AS_OF} - 13 AND {AS_OF} - 7), 0), 2)
                          AS prior_revenue
               FROM clickstream WHERE event_type = 'order')""",
+    "rolled_up_categories": f"""
+        SELECT category, event_type, count(event_id) AS event_count,
+               round(coalesce(sum(price) FILTER (WHERE event_type = 'order'), 0), 2) AS revenue
+        FROM clickstream WHERE arrival {WEEK} GROUP BY category, event_type""",
     "events_by_device": """SELECT device_type, count(event_id) AS event_count FROM clickstream
         GROUP BY device_type""",
     "restaurant_device_pivot": "SELECT restaurant_id"

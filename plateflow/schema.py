@@ -27,7 +27,7 @@ SERVER_FIELDS = ("ingested_at",)
 
 ARRIVAL_PARTITIONS = ("year", "month", "day", "hour")
 
-# The write that landed a row.  It is a column and the beginning of file names, not a folder, so the
+# The write that landed a row.  It is a column, not a folder, so the
 # number of folders doesn't depend on the number of writes.
 WRITE_KEY = "batch_id"
 

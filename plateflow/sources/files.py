@@ -54,6 +54,10 @@ class Folder:
     def delete(self, name: str = "") -> None:
         self._system.delete(self._at(name), True)
 
+    def delete_path(self, path: str) -> None:
+        """Delete a file given by its full path."""
+        self._system.delete(self._class(path), True)
+
     def write_lines(self, name: str, lines: list[str]) -> None:
         out = self._system.create(self._at(name), True)
         out.write(bytearray("\n".join(lines).encode()))

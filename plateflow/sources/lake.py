@@ -1,13 +1,14 @@
-"""The event lake and the quarantine: folders by arrival hour, files named after their write.
+"""The event lake and the quarantine: folders by arrival hour, and a log of writes.
 
-A write stages its files beside the lake and then moves them into the hour folders under names that
-begin with its key, after deleting files of that key there.  Repeating a write is therefore harmless,
-writes with different keys never touch each other's files, and readers see no half-written file.
-``compact_hours`` later merges the files of closed hours.
+A write appends its files to the hour folders; its key is a column of its rows.  ``_writes`` notes that
+a write has begun.  A write that finds its own note is a repeat: it first deletes the files that the
+attempt before left in its hours.  Writes with different keys never touch each other's files, and
+Spark's commit shows no half-written file.  ``compact_hours`` later merges the files of closed hours.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from uuid import uuid4
 
@@ -42,55 +43,48 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 # Rows of a file at most.
 FILE_ROWS = 2_000_000
+WRITES = "_writes"
 STAGING = "_staging"
-COMPACTED = "c"
-HIDDEN = "_c-"
-MARKER = "_compaction"
+COMPACTIONS = "_compactions"
+COMPACTED = "compacted-"
+# Files that a compaction moves or deletes at a time.
+SWITCH_THREADS = 16
 
 
-def _land(
-    records: DataFrame, path: str, partitions: list[str], key: str, file_format: str
-) -> list[str]:
-    """Stage and publish one write; the hour folders it went to."""
-    staging = Folder(records.sparkSession, f"{path.rstrip('/')}/{STAGING}/{key}")
-    _stage(records, staging.path, partitions, file_format)
-    return _publish(staging, path, key)
+def _land(records: DataFrame, path: str, partitions: list[str], key: str, file_format: str) -> None:
+    log = Folder(records.sparkSession, f"{path.rstrip('/')}/{WRITES}")
+    if log.exists(key):
+        _delete_write(records, path, key, file_format)
+    log.write_lines(key, [])
+    _writer(records, partitions, file_format).mode("append").save(path)
 
 
-def _stage(records: DataFrame, path: str, partitions: list[str], file_format: str) -> None:
+def _writer(records: DataFrame, partitions: list[str], file_format: str):
     writer = (
         records.write.format(file_format)
-        .mode("overwrite")
         .option("compression", COMPRESSION[file_format])
         .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy(*partitions)
     )
-    if file_format == "json":
-        writer = writer.option("timestampFormat", TIMESTAMP_FORMAT)
-    writer.save(path)
-
-
-def _publish(staging: Folder, path: str, key: str) -> list[str]:
-    by_folder = _by_folder(staging)
-    for folder, names in by_folder.items():
-        target = Folder(staging.spark, f"{path.rstrip('/')}/{folder}")
-        target.make()
-        for old in target.names():
-            if old.startswith(f"{key}-"):
-                target.delete(old)
-        for name in names:
-            target.move(f"{staging.path}/{folder}/{name}", f"{key}-{name}")
-    staging.delete()
-    return list(by_folder)
+    return writer.option("timestampFormat", TIMESTAMP_FORMAT) if file_format == "json" else writer
 
 
-def _by_folder(folder: Folder) -> dict[str, list[str]]:
-    """File names by sub-folder."""
-    found: dict[str, list[str]] = {}
-    for relative, _ in folder.files():
-        parent, _, name = relative.rpartition("/")
-        found.setdefault(parent, []).append(name)
-    return found
+def _delete_write(records: DataFrame, path: str, key: str, file_format: str) -> None:
+    """Delete the files that an earlier attempt of this write left in the hours of its rows."""
+    spark = records.sparkSession
+    lake = Folder(spark, path)
+    hours = records.select(*ARRIVAL_PARTITIONS).distinct().collect()
+    folders = ["/".join(f"{name}={hour[name]}" for name in ARRIVAL_PARTITIONS) for hour in hours]
+    found = [f"{lake.path}/{folder}" for folder in folders if lake.exists(folder)]
+    if not found:
+        return
+    schema = T.StructType([T.StructField(WRITE_KEY, T.StringType())])
+    rows = _reader(spark, schema, file_format).option("recursiveFileLookup", True).load(found)
+    own = rows.filter(F.col(WRITE_KEY) == key).select("_metadata.file_path", "_metadata.file_name")
+    for file in own.distinct().collect():
+        if file["file_name"].startswith(COMPACTED):
+            raise ValueError(f"write {key} is in a compacted hour: {file['file_path']}")
+        lake.delete_path(file["file_path"])
 
 
 def _gathered(records: DataFrame, partitions: list[str]) -> DataFrame:
@@ -105,8 +99,8 @@ def land_events(
     write_key: str = "0",
     file_format: str = DEFAULT_FORMAT,
     one_hour: bool = False,
-) -> list[str]:
-    """Write the accepted rows of enriched, validated payloads below ``path``; returns hour folders.
+) -> None:
+    """Write the accepted rows of enriched, validated payloads below ``path``.
 
     Rows of ``one_hour`` all go to one folder and are evened out to files of the advisory size; rows
     of many hours are gathered by folder.
@@ -114,16 +108,16 @@ def land_events(
     partitions = list(ARRIVAL_PARTITIONS)
     keyed = event_records(validated).withColumn(WRITE_KEY, F.lit(str(write_key)))
     rows = keyed.hint("rebalance") if one_hour else _gathered(keyed, partitions)
-    return _land(rows, path, partitions, str(write_key), file_format)
+    _land(rows, path, partitions, str(write_key), file_format)
 
 
 def land_rejects(
     validated: DataFrame, path: str, write_key: str = "0", file_format: str = DEFAULT_FORMAT
-) -> list[str]:
+) -> None:
     """Write the rejected rows below ``path``, with the error type as a further folder level."""
     partitions = [*ARRIVAL_PARTITIONS, "error_type"]
     keyed = quarantine_records(validated).withColumn(WRITE_KEY, F.lit(str(write_key)))
-    return _land(_gathered(keyed, partitions), path, partitions, str(write_key), file_format)
+    _land(_gathered(keyed, partitions), path, partitions, str(write_key), file_format)
 
 
 def hour_folder(moment: datetime) -> str:
@@ -139,48 +133,47 @@ def compact_hours(
 ) -> int:
     """Merge the files of each arrival hour from ``since`` up to, not including, ``until``.
 
-    Only for closed hours, to which no batch can return.  All hours are rewritten by one Spark job,
-    large ones by several tasks.  An hour is then switched: the merged files come in hidden, a marker
-    names the files they replace, these are deleted, and the merged files are shown.  A run that finds
-    a marker finishes that switch first; without one it drops hidden files.  Returns the hours merged.
+    Only for closed hours, to which no batch can return.  One Spark job rewrites all hours into the
+    staging folder, large ones by several tasks.  A note then lists the files to replace; these are
+    deleted and the merged ones moved in.  A run that finds a note finishes that switch first, so an
+    interrupted one neither loses nor doubles rows.  Returns the hours merged.
     """
-    hours = [since + timedelta(hours=n) for n in range(int((until - since) / timedelta(hours=1)))]
-    folders = {hour_folder(hour): Folder(spark, f"{path.rstrip('/')}/{hour_folder(hour)}") for hour in hours}
-    for folder in folders.values():
-        _finish_switch(folder)
-    files = {name: _shown(folder) for name, folder in folders.items()}
-    chosen = [name for name, names in files.items() if len(names) > 1]
-    if not chosen:
+    lake = Folder(spark, path)
+    for name in lake.names(COMPACTIONS):
+        _switch(lake, name)
+    count = int((until - since) / timedelta(hours=1))
+    hours = [hour_folder(since + timedelta(hours=n)) for n in range(count)]
+    found = [f"{lake.path}/{hour}" for hour in hours if lake.exists(hour)]
+    if not found:
         return 0
-    paths = [f"{folders[name].path}/{file}" for name in chosen for file in files[name]]
-    rows = _reader(spark, EVENT_SCHEMA, file_format).option("basePath", path).load(paths)
-    staging = Folder(spark, f"{path.rstrip('/')}/{STAGING}/{COMPACTED}-{uuid4().hex}")
-    _stage(_gathered(rows, list(ARRIVAL_PARTITIONS)), staging.path, list(ARRIVAL_PARTITIONS), file_format)
-    for name, merged in _by_folder(staging).items():
-        for file in merged:
-            folders[name].move(f"{staging.path}/{name}/{file}", f"{HIDDEN}{file}")
-        folders[name].write_lines(MARKER, files[name])
-        _finish_switch(folders[name])
-    staging.delete()
-    return len(chosen)
+    listed = spark.read.format("binaryFile").option("basePath", lake.path).load(found)
+    by_hour: dict[tuple, list[str]] = {}
+    for file in listed.select("path", *ARRIVAL_PARTITIONS).collect():
+        by_hour.setdefault(tuple(file[name] for name in ARRIVAL_PARTITIONS), []).append(file["path"])
+    old = [name for names in by_hour.values() if len(names) > 1 for name in names]
+    if not old:
+        return 0
+    rows = _reader(spark, EVENT_SCHEMA, file_format).option("basePath", lake.path).load(old)
+    note = uuid4().hex
+    partitions = list(ARRIVAL_PARTITIONS)
+    _writer(_gathered(rows, partitions), partitions, file_format).save(f"{lake.path}/{STAGING}/{note}")
+    lake.write_lines(f"{COMPACTIONS}/{note}", old)
+    _switch(lake, note)
+    return sum(len(names) > 1 for names in by_hour.values())
 
 
-def _shown(folder: Folder) -> list[str]:
-    return [name for name in folder.names() if name[0] not in "._"]
+def _switch(lake: Folder, note: str) -> None:
+    staging = Folder(lake.spark, f"{lake.path}/{STAGING}/{note}")
 
+    def show(relative: str) -> None:
+        folder, _, name = relative.rpartition("/")
+        lake.move(f"{staging.path}/{relative}", f"{folder}/{COMPACTED}{name}")
 
-def _finish_switch(folder: Folder) -> None:
-    names = folder.names()
-    hidden = [name for name in names if name.startswith(HIDDEN)]
-    if MARKER in names:
-        for old in folder.read_lines(MARKER):
-            folder.delete(old)
-        for name in hidden:
-            folder.move(f"{folder.path}/{name}", f"{COMPACTED}-{name.removeprefix(HIDDEN)}")
-        folder.delete(MARKER)
-    else:
-        for name in hidden:
-            folder.delete(name)
+    with ThreadPoolExecutor(SWITCH_THREADS) as pool:
+        list(pool.map(lake.delete_path, lake.read_lines(f"{COMPACTIONS}/{note}")))
+        list(pool.map(show, [relative for relative, _ in staging.files()]))
+    staging.delete()
+    lake.delete(f"{COMPACTIONS}/{note}")
 
 
 def _reader(spark: SparkSession, schema: T.StructType, file_format: str):

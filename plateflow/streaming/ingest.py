@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plateflow.operators.enrichment import enrich
 from plateflow.operators.validation import ACCEPTED, accepted_events, rejected_events, validate_events
 from plateflow.schema import ARRIVAL_PARTITIONS, WRITE_KEY
-from plateflow.sources.catalog import register_folders
+from plateflow.sources.catalog import register_partitions
 from plateflow.sources.lake import DEFAULT_FORMAT, land_events, land_rejects, read_window
 
 # Fixed value: buffering of the delivery stage.
@@ -84,7 +84,7 @@ def landed_ids(target: IngestTarget, batch: DataFrame, hours: int) -> DataFrame:
 def land_batch(target: IngestTarget, dedup_hours: int | None = None, one_hour: bool = True):
     """The ``foreachBatch`` function: both sinks from one evaluation of the batch.
 
-    Every file written carries the batch id, so running a batch again after a failure replaces
+    Every row written carries the batch id, so running a batch again after a failure replaces
     exactly what the first attempt wrote.  Rows stamped by the batch time share one hour.
     """
 
@@ -95,10 +95,11 @@ def land_batch(target: IngestTarget, dedup_hours: int | None = None, one_hour: b
             rows = judged
             if dedup_hours is not None:
                 rows = drop_repeated_ids(judged, landed_ids(target, judged, dedup_hours), key)
-            folders = land_events(rows, target.events, key, target.file_format, one_hour)
+            land_events(rows, target.events, key, target.file_format, one_hour)
             land_rejects(judged, target.quarantine, key, target.file_format)
             if target.table is not None:
-                register_folders(batch.sparkSession, target.table, folders)
+                hours = accepted_events(rows).select(*ARRIVAL_PARTITIONS).distinct().collect()
+                register_partitions(batch.sparkSession, target.table, [h.asDict() for h in hours])
         finally:
             judged.unpersist()
 

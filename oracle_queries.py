@@ -373,7 +373,7 @@ PAYLOAD_QUERIES = {
     "landed_rejects": f"""SELECT {PARTITIONS}, error_type, field, error, value
         FROM judged WHERE status = 400""",
     "compacted_lake": f"""SELECT {PARTITIONS}, count(*) AS events, 1 AS files,
-        count(DISTINCT seq % 3) AS batches, round(sum(price), 2) AS price_sum
+        count(DISTINCT seq % 2) AS batches, round(sum(price), 2) AS price_sum
         FROM judged WHERE status = 200 GROUP BY ALL""",
     "catalog_events": f"""SELECT event_id, event_type, {PARTITIONS} FROM judged
         WHERE status = 200 AND CAST(ingested_at AS DATE) {WEEK}""",

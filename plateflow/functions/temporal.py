@@ -37,7 +37,3 @@ def day_name(day_number: Column) -> Column:
 
 def short_day_name(moment: Column) -> Column:
     return F.date_format(moment, "E")
-
-
-def seconds_between(later: Column, earlier: Column) -> Column:
-    return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1e6)

@@ -117,21 +117,24 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         units.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2"),
         "unit-digests",
     )
-    places = materialise(units.join(twice, ["d1", "d2"]).distinct(), "unit-places")
+    places = materialise(units.join(twice, ["d1", "d2"]), "unit-places")
     # Written, so that the join below sees two plain inputs and can be split at a hot unit.
     firsts = materialise(
         places.groupBy("d1", "d2").agg(F.min(_rank()).alias("first")), "unit-firsts"
     )
     later = places.join(firsts, ["d1", "d2"]).filter(_rank() > F.col("first"))
     of_doc = Window.partitionBy("doc_id", "t").orderBy("unit")
-    runs = later.withColumn("run", F.col("unit") - F.row_number().over(of_doc))
+    # Nothing between a join and its next shuffle may need the join's grouping, or a hot unit can't be
+    # split.  So repeated rows of a document stay; they share ranks, and sums are divided by their number.
+    runs = later.withColumn("run", F.col("unit") - F.dense_rank().over(of_doc))
+    n_units = F.max("unit") - F.min("unit") + 1
     return (
         runs.groupBy("doc_id", "t", "run")
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
-            F.count("*").cast("int").alias("n_units"),
-            F.sum("words").cast("int").alias("n_words"),
+            n_units.cast("int").alias("n_units"),
+            (F.sum("words") * n_units / F.count("*")).cast("int").alias("n_words"),
             F.min_by("first", "unit").alias("first"),
         )
         .filter(F.col("n_words") >= min_words)

@@ -10,8 +10,9 @@ below; once they exceed the limit, the whole pair of groups is pruned.
 Distribution.  One index over all fingerprints would need each of them sent to nearly every range of
 the Gray order.  Instead the 64 bits are cut into ``BLOCKS`` blocks.  Two fingerprints within
 ``MAX_BITS`` agree on ``BLOCKS - MAX_BITS`` blocks at least, so a bucket per choice of blocks and their
-bits, 20 rows a fingerprint, brings every link into some bucket; nothing is missed.  Each bucket has
-its own index.  Only a spanning forest of a bucket's links leaves it.
+bits, 20 rows a fingerprint, brings every link into some bucket; nothing is missed.  A bucket of
+more than ``LEAF`` has its own index; smaller ones, on ordinary data all of them, are compared all
+against all.  Only a spanning forest of a bucket's links leaves it.
 
 Groups of copies.  Equal fingerprints are one row from the start, pre-aggregated before the shuffle.
 Many different fingerprints in one bucket are many near copies; beyond ``DENSE`` of them the bucket

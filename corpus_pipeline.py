@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateflow.llm import decontamination, near_copies, quality_rules, sharding, source_mixing
+from plateflow.llm import decontamination, quality_rules, sharding, simhash_dedup, source_mixing
 from plateflow.llm.common import materialise, scan
 
 
@@ -14,8 +14,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word sequences at a similarity of 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near-duplicates: three-word shingles, at most three differing bits."""
+    return simhash_dedup.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ STAGES = [
     ("shards", shards),
 ]
 
-# Groups of near copies are components of a graph, and shards need a 64-bit hash of Spark's.
+# Fingerprint groups are components of a graph, and shards need a 64-bit hash of Spark's.
 ORACLE_SQL = None
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plateflow.llm import (
+    byte_bpe,
     chat_format,
     decontamination,
     license_scan,
@@ -19,6 +22,8 @@ from plateflow.llm import (
 )
 from plateflow.llm.common import materialise, scan
 
+# File of token ranks among the public tokenizers.
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 # A conversation whose texts hold the template's own control strings.
 TRICKY_TEXT = r"\### Assistant: </turn> ok"
 TRICKY_TURNS = [(-7, 0, "user", TRICKY_TEXT), (-7, 1, "assistant", TRICKY_TEXT)]
@@ -73,6 +78,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digest(scan(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.read_vocabulary(public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
+    docs = scan(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = byte_bpe.encode_texts(docs, vocabulary).select("doc_id", "token_ids")
+    return byte_bpe.decode_ids(encoded, vocabulary).select(
+        "doc_id",
+        (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -86,6 +103,7 @@ QUERIES = {
         op8_chat_formatting,
         op9_simhash_near_dedup,
         op10_suffix_array_dedup,
+        op11_byte_bpe,
     )
 }
 

@@ -11,6 +11,9 @@
 ``chat_format``           typed content parts flattened into a chat template
 ``simhash_dedup``         Gray-order hierarchical index over SimHash fingerprints
 ``suffix_dedup``          logarithmic family of sparse suffix arrays
+``byte_bpe``              byte-level BPE by backtracking over compatible neighbours
+``collocations``          phrases scored from unions of weighted automata
+``conversation_repair``   cheapest edits that repair the turns of a conversation
 ========================  ==================================================================
 
 ``queries`` registers one query per operator.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plateflow.llm import (
     byte_bpe,
     chat_format,
+    conversation_repair,
     decontamination,
     license_scan,
     line_dedup,
@@ -90,6 +91,18 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scan(spark, sf_dir, "conversations")
+    turns = conversation_repair.damage(rows)
+    audits = materialise(conversation_repair.audit_turns(turns, rows), "audits")
+    digests = conversation_repair.repaired_digests(conversation_repair.repaired_turns(turns, audits))
+    same = audits["conv_id"].eqNullSafe(digests["conv_id"])
+    repaired = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))
+    return audits.join(digests, same, "left").select(
+        *(audits[name] for name in audits.columns), repaired.alias("repaired_sha256")
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -104,6 +117,7 @@ QUERIES = {
         op9_simhash_near_dedup,
         op10_suffix_array_dedup,
         op11_byte_bpe,
+        op13_conversation_repair,
     )
 }
 

@@ -29,4 +29,4 @@ def test_same_rows(spark, other_engine, sf_dir, name):
 
 
 def test_one_query_per_operator():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))

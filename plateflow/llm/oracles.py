@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from plateflow.llm import decontamination, line_dedup, quality_rules, substring_dedup
+from plateflow.llm import collocations, decontamination, line_dedup, quality_rules, substring_dedup
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _GAMMA = repr((1 + quality_rules.RELATIVE_ERROR) / (1 - quality_rules.RELATIVE_ERROR))
@@ -205,6 +205,53 @@ FROM laid GROUP BY conv_id
 """
 
 
+def _collocations() -> str:
+    capitals, small = (f"{a}{''.join(chr(ord(a) + k) for k in range(1, 26))}" for a in "Aa")
+    return f"""
+WITH pieces AS (
+    SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{capitals}', '{small}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+),
+worded AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words FROM pieces
+),
+placed AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded
+),
+grams AS (
+    SELECT lang, array_to_string(words[i : i + size - 1], ' ') AS phrase, size
+    FROM placed, (SELECT unnest(range(1, {collocations.LONGEST} + 1)) AS size) WHERE i + size - 1 <= len(words)
+),
+totals AS (SELECT lang, count(*) AS n FROM placed GROUP BY lang),
+counted AS (
+    SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}
+),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS words FROM counted WHERE size > 1),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n,
+        (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1 : k], ' ')
+    JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[k + 1 :], ' ')
+    JOIN totals t ON t.lang = c.lang
+),
+best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+whole AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM candidates q WHERE q.lang = b.lang AND length(q.phrase) > length(b.phrase)
+            AND 100 * q.a >= 100 * b.a AND contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' ')
+    )
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM whole
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= {collocations.TOP}
+"""
+
+
 def statements() -> dict[str, str]:
     """The SQL twins by query name."""
     return {
@@ -213,4 +260,5 @@ def statements() -> dict[str, str]:
         "op3_substring_dedup": _substrings(),
         "op6_line_dedup": _lines(),
         "op8_chat_formatting": _chat(),
+        "op12_phrase_collocations": _collocations(),
     }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plateflow.llm import (
     byte_bpe,
     chat_format,
+    collocations,
     conversation_repair,
     decontamination,
     license_scan,
@@ -91,6 +92,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(scan(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan(spark, sf_dir, "conversations")
     turns = conversation_repair.damage(rows)
@@ -117,6 +122,7 @@ QUERIES = {
         op9_simhash_near_dedup,
         op10_suffix_array_dedup,
         op11_byte_bpe,
+        op12_phrase_collocations,
         op13_conversation_repair,
     )
 }

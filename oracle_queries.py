@@ -375,6 +375,9 @@ PAYLOAD_QUERIES = {
     "compacted_lake": f"""SELECT {PARTITIONS}, count(*) AS events, 1 AS files,
         count(DISTINCT seq % 2) AS batches, round(sum(price), 2) AS price_sum
         FROM judged WHERE status = 200 GROUP BY ALL""",
+    "replayed_lake": f"""SELECT {PARTITIONS}, count(*) AS events, 1 AS files,
+        count(DISTINCT seq % 2) AS batches, round(sum(price), 2) AS price_sum
+        FROM judged WHERE status = 200 GROUP BY ALL""",
     "catalog_events": f"""SELECT event_id, event_type, {PARTITIONS} FROM judged
         WHERE status = 200 AND CAST(ingested_at AS DATE) {WEEK}""",
     "stream_dedup": """SELECT event_id, min(price) AS price FROM judged WHERE status = 200

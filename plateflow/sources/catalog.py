@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,13 @@ from plateflow.schema import (
     WRITE_KEY,
 )
 from plateflow.sources.files import Folder
-from plateflow.sources.lake import DEFAULT_FORMAT, TIMESTAMP_FORMAT, hour_folder
+from plateflow.sources.lake import (
+    DEFAULT_FORMAT,
+    TIMESTAMP_FORMAT,
+    hour_folder,
+    hours_between,
+    visible,
+)
 
 
 def _quote(name: str) -> str:
@@ -63,14 +69,13 @@ def sync_partitions(spark: SparkSession, table: str) -> None:
 
 
 def sync_since(spark: SparkSession, table: str, path: str, since: datetime, until: datetime) -> int:
-    """Register the folders of the arrival hours from ``since`` up to, not including, ``until``.
+    """Register the folders of the arrival hours that the span from ``since`` to ``until`` touches.
 
     Looks at these hours only, whatever the size of the lake.  Returns the folders found.
     """
-    hours = int((until - since) / timedelta(hours=1))
     lake = Folder(spark, path)
     found = []
-    for folder in (hour_folder(since + timedelta(hours=n)) for n in range(hours)):
+    for folder in map(hour_folder, hours_between(since, until)):
         deeper = [name for name in lake.names(folder) if name.startswith("error_type=")]
         if deeper:
             found.extend(f"{folder}/{name}" for name in deeper)
@@ -102,9 +107,14 @@ def register_partitions(
 
 
 def read_event_table(spark: SparkSession, table: str, database: str | None = None) -> DataFrame:
-    """Events of a catalog table, in the given or the current database."""
+    """Events of a catalog table, in the given or the current database.
+
+    Its folders are listed anew; writes and compactions that are under way now are hidden.
+    """
     name = f"{database}.{table}" if database else table
-    return spark.table(name).drop(WRITE_KEY)
+    spark.catalog.refreshTable(_quote(name))
+    details = spark.sql(f"DESCRIBE FORMATTED {_quote(name)}").filter("col_name = 'Location'").first()
+    return visible(spark.table(name), details["data_type"]).drop(WRITE_KEY)
 
 
 def schema_drift(sample: DataFrame, expected: T.StructType = EVENT_SCHEMA) -> DataFrame:

@@ -5,6 +5,8 @@ For names of folders and files of one write or one lake hour; listings of whole
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 
@@ -24,10 +26,15 @@ class Folder:
         return self._system.exists(self._at(name))
 
     def names(self, name: str = "") -> list[str]:
-        """Sorted names in a sub-folder; none where it doesn't exist."""
+        """Sorted names in a sub-folder, without those that begin with a dot; none where it doesn't exist."""
         if not self.exists(name):
             return []
-        return sorted(status.getPath().getName() for status in self._system.listStatus(self._at(name)))
+        found = (status.getPath().getName() for status in self._system.listStatus(self._at(name)))
+        return sorted(one for one in found if not one.startswith("."))
+
+    def modified(self, name: str = "") -> int:
+        """Milliseconds since 1970 of the last change."""
+        return self._system.getFileStatus(self._at(name)).getModificationTime()
 
     def files(self) -> list[tuple[str, int]]:
         """Paths below the folder, relative to it, with their bytes; hidden files are left out."""
@@ -59,9 +66,15 @@ class Folder:
         self._system.delete(self._class(path), True)
 
     def write_lines(self, name: str, lines: list[str]) -> None:
-        out = self._system.create(self._at(name), True)
+        """Write a file under another name first, so that none is seen half written."""
+        folder, _, last = name.rpartition("/")
+        draft = self._at(f"{folder}/.{last}-{uuid4().hex}".lstrip("/"))
+        out = self._system.create(draft, True)
         out.write(bytearray("\n".join(lines).encode()))
         out.close()
+        self._system.delete(self._at(name), False)
+        if not self._system.rename(draft, self._at(name)):
+            raise OSError(f"can't write {self.path}/{name}")
 
     def read_lines(self, name: str) -> list[str]:
         source = self._system.open(self._at(name))

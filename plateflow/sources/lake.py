@@ -1,14 +1,14 @@
-"""The event lake and the quarantine: folders by arrival hour, and a log of writes.
+"""The event lake and the quarantine: folders by arrival hour, with notes of writes and compactions.
 
-A write appends its files to the hour folders; its key is a column of its rows.  ``_writes`` notes that
-a write has begun.  A write that finds its own note is a repeat: it first deletes the files that the
-attempt before left in its hours.  Writes with different keys never touch each other's files, and
-Spark's commit shows no half-written file.  ``compact_hours`` later merges the files of closed hours.
+A write is staged and then moved into the hour folders; its key is a column of its rows.  The notes of
+``plateflow.sources.notes`` say which writes are done: one that is done isn't repeated, even if its files
+have been merged since, and one that was interrupted is undone first.  Writes with different keys never
+touch each other's files.  ``compact_hours`` merges the files of closed hours.  The readers here see each
+write and each compaction at once or not at all; readers of the folders alone see files as they come.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from uuid import uuid4
 
@@ -35,6 +35,7 @@ from plateflow.schema import (
     WRITE_KEY,
 )
 from plateflow.sources.files import Folder
+from plateflow.sources.notes import LakeNotes
 
 # File layout.
 DEFAULT_FORMAT = "parquet"
@@ -43,20 +44,18 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 # Rows of a file at most.
 FILE_ROWS = 2_000_000
-WRITES = "_writes"
-STAGING = "_staging"
-COMPACTIONS = "_compactions"
 COMPACTED = "compacted-"
-# Files that a compaction moves or deletes at a time.
-SWITCH_THREADS = 16
+# Times that a reader lists a lake which changes meanwhile.
+LISTINGS = 10
 
 
 def _land(records: DataFrame, path: str, partitions: list[str], key: str, file_format: str) -> None:
-    log = Folder(records.sparkSession, f"{path.rstrip('/')}/{WRITES}")
-    if log.exists(key):
-        _delete_write(records, path, key, file_format)
-    log.write_lines(key, [])
-    _writer(records, partitions, file_format).mode("append").save(path)
+    notes = LakeNotes(records.sparkSession, path)
+    if notes.is_done(key):
+        return
+    notes.undo(key)
+    _writer(records, partitions, file_format).save(f"{notes.lake.path}/{notes.staged(key)}")
+    notes.publish(key)
 
 
 def _writer(records: DataFrame, partitions: list[str], file_format: str):
@@ -69,24 +68,6 @@ def _writer(records: DataFrame, partitions: list[str], file_format: str):
     return writer.option("timestampFormat", TIMESTAMP_FORMAT) if file_format == "json" else writer
 
 
-def _delete_write(records: DataFrame, path: str, key: str, file_format: str) -> None:
-    """Delete the files that an earlier attempt of this write left in the hours of its rows."""
-    spark = records.sparkSession
-    lake = Folder(spark, path)
-    hours = records.select(*ARRIVAL_PARTITIONS).distinct().collect()
-    folders = ["/".join(f"{name}={hour[name]}" for name in ARRIVAL_PARTITIONS) for hour in hours]
-    found = [f"{lake.path}/{folder}" for folder in folders if lake.exists(folder)]
-    if not found:
-        return
-    schema = T.StructType([T.StructField(WRITE_KEY, T.StringType())])
-    rows = _reader(spark, schema, file_format).option("recursiveFileLookup", True).load(found)
-    own = rows.filter(F.col(WRITE_KEY) == key).select("_metadata.file_path", "_metadata.file_name")
-    for file in own.distinct().collect():
-        if file["file_name"].startswith(COMPACTED):
-            raise ValueError(f"write {key} is in a compacted hour: {file['file_path']}")
-        lake.delete_path(file["file_path"])
-
-
 def _gathered(records: DataFrame, partitions: list[str]) -> DataFrame:
     """Rows of a folder together, so that it gets few files.  Adaptive execution splits a folder
     that is much larger than the others over several tasks."""
@@ -124,65 +105,78 @@ def hour_folder(moment: datetime) -> str:
     return f"{moment:year=%Y/month=%m/day=%d/hour=%H}"
 
 
+def hours_between(since: datetime, until: datetime) -> list[datetime]:
+    """The hours that a span touches, from the one of ``since`` up to, not including, ``until``."""
+    first = since.replace(minute=0, second=0, microsecond=0)
+    count = -((first - until) // timedelta(hours=1))
+    return [first + timedelta(hours=n) for n in range(count)]
+
+
 def compact_hours(
     spark: SparkSession,
     path: str,
     since: datetime,
     until: datetime,
     file_format: str = DEFAULT_FORMAT,
+    grace: timedelta = timedelta(0),
 ) -> int:
-    """Merge the files of each arrival hour from ``since`` up to, not including, ``until``.
+    """Merge the files of each arrival hour that the span from ``since`` to ``until`` touches.
 
     Only for closed hours, to which no batch can return.  One Spark job rewrites all hours into the
-    staging folder, large ones by several tasks.  A note then lists the files to replace; these are
-    deleted and the merged ones moved in.  A run that finds a note finishes that switch first, so an
-    interrupted one neither loses nor doubles rows.  Returns the hours merged.
+    staging folder, large ones by several tasks.  The files it replaces are deleted by the first run
+    that comes ``grace`` after; until then a reader that began before can go on reading them.  A run
+    ends what an interrupted one has left.  Files of writes that aren't done are not touched.  Returns
+    the hours merged.
     """
-    lake = Folder(spark, path)
-    for name in lake.names(COMPACTIONS):
-        _switch(lake, name)
-    count = int((until - since) / timedelta(hours=1))
-    hours = [hour_folder(since + timedelta(hours=n)) for n in range(count)]
-    found = [f"{lake.path}/{hour}" for hour in hours if lake.exists(hour)]
+    notes = LakeNotes(spark, path)
+    lake = notes.lake
+    notes.finish(COMPACTED, grace)
+    found = [f"{lake.path}/{hour}" for hour in map(hour_folder, hours_between(since, until)) if lake.exists(hour)]
     if not found:
         return 0
     listed = spark.read.format("binaryFile").option("basePath", lake.path).load(found)
+    hidden = set(notes.hidden(COMPACTED))
     by_hour: dict[tuple, list[str]] = {}
     for file in listed.select("path", *ARRIVAL_PARTITIONS).collect():
-        by_hour.setdefault(tuple(file[name] for name in ARRIVAL_PARTITIONS), []).append(file["path"])
+        if file["path"].rpartition("/")[2] not in hidden:
+            by_hour.setdefault(tuple(file[name] for name in ARRIVAL_PARTITIONS), []).append(file["path"])
     old = [name for names in by_hour.values() if len(names) > 1 for name in names]
     if not old:
         return 0
     rows = _reader(spark, EVENT_SCHEMA, file_format).option("basePath", lake.path).load(old)
     note = uuid4().hex
     partitions = list(ARRIVAL_PARTITIONS)
-    _writer(_gathered(rows, partitions), partitions, file_format).save(f"{lake.path}/{STAGING}/{note}")
-    lake.write_lines(f"{COMPACTIONS}/{note}", old)
-    _switch(lake, note)
+    _writer(_gathered(rows, partitions), partitions, file_format).save(f"{lake.path}/{notes.staged(note)}")
+    notes.replace(note, old, COMPACTED)
+    notes.finish(COMPACTED, grace)
     return sum(len(names) > 1 for names in by_hour.values())
 
 
-def _switch(lake: Folder, note: str) -> None:
-    staging = Folder(lake.spark, f"{lake.path}/{STAGING}/{note}")
-
-    def show(relative: str) -> None:
-        folder, _, name = relative.rpartition("/")
-        lake.move(f"{staging.path}/{relative}", f"{folder}/{COMPACTED}{name}")
-
-    with ThreadPoolExecutor(SWITCH_THREADS) as pool:
-        list(pool.map(lake.delete_path, lake.read_lines(f"{COMPACTIONS}/{note}")))
-        list(pool.map(show, [relative for relative, _ in staging.files()]))
-    staging.delete()
-    lake.delete(f"{COMPACTIONS}/{note}")
-
-
 def _reader(spark: SparkSession, schema: T.StructType, file_format: str):
     reader = spark.read.schema(schema).format(file_format)
     return reader.option("timestampFormat", TIMESTAMP_FORMAT) if file_format == "json" else reader
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, file_format: str) -> DataFrame:
-    return _reader(spark, schema, file_format).load(path)
+def visible(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of a lake without the files that its notes hide now."""
+    hidden = LakeNotes(rows.sparkSession, path).hidden(COMPACTED)
+    return rows.filter(~F.col("_metadata.file_name").isin(hidden)) if hidden else rows
+
+
+def _read(
+    spark: SparkSession, path: str, schema: T.StructType, file_format: str, folders: list[str] | None = None
+) -> DataFrame:
+    """The lake, or some of its folders, as of one moment: listed again if a write or a compaction took
+    a step meanwhile."""
+    notes = LakeNotes(spark, path)
+    reader = _reader(spark, schema, file_format)
+    for _ in range(LISTINGS):
+        before = notes.state()
+        rows = reader.load(path) if folders is None else reader.option("basePath", path).load(folders)
+        shown = visible(rows, path)
+        if notes.state() == before:
+            return shown
+    raise TimeoutError(f"{path} changed while it was listed, {LISTINGS} times")
 
 
 def read_window(
@@ -198,8 +192,7 @@ def read_window(
     found = [day for day in (f"{d:year=%Y/month=%m/day=%d}" for d in days) if lake.exists(day)]
     if not found:
         return spark.createDataFrame([], EVENT_SCHEMA)
-    reader = _reader(spark, EVENT_SCHEMA, file_format).option("basePath", path)
-    return reader.load([f"{path.rstrip('/')}/{day}" for day in found])
+    return _read(spark, path, EVENT_SCHEMA, file_format, [f"{lake.path}/{day}" for day in found])
 
 
 def read_written(

@@ -32,6 +32,7 @@ from plateflow.sources.guard import (
     guard_scan,
     lake_scan_bytes,
 )
+from plateflow.sources.notes import LakeNotes
 from plateflow.sources.lake import (
     compact_hours,
     land_events,
@@ -103,14 +104,42 @@ def test_folders_do_not_depend_on_the_number_of_writes(spark, tmp_path):
     assert len(hours) == 3 and read_events(spark, path).count() == 15
 
 
-def test_half_written_batch_is_repeated(spark, tmp_path):
-    """What an attempt left that failed before its end doesn't stay beside the repeat."""
+def failing_at(monkeypatch, step, allowed):
+    """Let a step of the lake's folder fail after so many calls."""
+    plain, calls = getattr(Folder, step), []
+
+    def failing(self, *args):
+        if len(calls) == allowed:
+            raise OSError("driver gone")
+        calls.append(args)
+        return plain(self, *args)
+
+    monkeypatch.setattr(Folder, step, failing)
+
+
+@pytest.mark.parametrize("step, allowed", [("write_lines", 0), ("move", 0), ("move", 1), ("move", 3)])
+def test_half_written_batch_is_repeated(spark, tmp_path, monkeypatch, step, allowed):
+    """What an attempt left that failed before its end isn't seen, and doesn't stay beside the repeat,
+    even if the repeat has rows of other hours."""
+    path = str(tmp_path / "lake")
+    land_events(judged(spark, STAMPS[:1]), path, "2")
+    failing_at(monkeypatch, step, allowed)
+    with pytest.raises(OSError):
+        land_events(judged(spark), path, "1")
+    monkeypatch.undo()
+    assert [r["batch_id"] for r in rows_of(read_written(spark, path).drop("extra"))] == ["2"]
+    assert compact_hours(spark, path, HOUR, HOUR + timedelta(days=9)) == 0
+    land_events(judged(spark, STAMPS[1:2] * 2), path, "1")
+    rows = rows_of(read_written(spark, path).drop("extra"))
+    assert sorted(r["batch_id"] for r in rows) == ["1", "1", "2"]
+    assert not [f for f in files_below(path, ".parquet") if f.startswith("_")]
+
+
+def test_a_done_write_is_not_repeated(spark, tmp_path):
     path = str(tmp_path / "lake")
     land_events(judged(spark, STAMPS[:2]), path, "1")
-    land_events(judged(spark), path, "2")
     land_events(judged(spark), path, "1")
-    rows = rows_of(read_written(spark, path).drop("extra"))
-    assert sorted(r["batch_id"] for r in rows) == ["1"] * 3 + ["2"] * 3
+    assert read_events(spark, path).count() == 2
 
 
 HOUR = datetime(2024, 2, 29, 23)
@@ -129,35 +158,93 @@ def test_compaction(spark, tmp_path, monkeypatch):
     assert compact_hours(spark, path, HOUR, HOUR + timedelta(hours=2)) == 0
 
 
-@pytest.mark.parametrize("step, allowed", [("write_lines", 0), ("delete_path", 1), ("move", 0)])
+@pytest.mark.parametrize("step, allowed", [("write_lines", 0), ("delete_path", 1), ("move", 0), ("move", 1)])
 def test_interrupted_compaction_loses_nothing(spark, tmp_path, monkeypatch, step, allowed):
     path = str(tmp_path / "lake")
     for key in range(3):
         land_events(judged(spark, [STAMPS[0]] * 2), path, key)
-    plain, calls = getattr(Folder, step), []
-
-    def failing(self, *args):
-        if len(calls) == allowed:
-            raise OSError("driver gone")
-        calls.append(args)
-        plain(self, *args)
-
-    monkeypatch.setattr(Folder, step, failing)
+    failing_at(monkeypatch, step, allowed)
     with pytest.raises(OSError):
         compact_hours(spark, path, HOUR, HOUR + timedelta(hours=1))
     monkeypatch.undo()
+    assert read_events(spark, path).count() == 6
     compact_hours(spark, path, HOUR, HOUR + timedelta(hours=1))
     assert read_events(spark, path).count() == 6
     assert len([f for f in files_below(path, ".parquet") if not f.startswith("_")]) == 1
 
 
-def test_write_of_a_compacted_hour_is_refused(spark, tmp_path):
+def test_readers_never_see_a_compaction_in_part(spark, tmp_path, monkeypatch):
+    """A report at each step of a switch sees every row once, through folders and through the catalog."""
+    path = str(tmp_path / "lake")
+    for key in range(3):
+        land_events(judged(spark), path, key)
+    create_event_table(spark, "switched_events", path)
+    sync_partitions(spark, "switched_events")
+    seen = []
+    for step in ("move", "delete_path", "write_lines"):
+        plain = getattr(Folder, step)
+
+        def watched(self, *args, plain=plain):
+            plain(self, *args)
+            seen.append((read_events(spark, path).count(), read_event_table(spark, "switched_events").count()))
+
+        monkeypatch.setattr(Folder, step, watched)
+    monkeypatch.setattr("plateflow.sources.notes.THREADS", 1)
+    assert compact_hours(spark, path, HOUR, HOUR + timedelta(days=9)) == 3
+    assert len(seen) == 1 + 4 + 9 and set(seen) == {(9, 9)}
+
+
+def test_replaced_files_stay_for_readers_that_began_before(spark, tmp_path):
     path = str(tmp_path / "lake")
     for key in range(2):
-        land_events(judged(spark, STAMPS[:1]), path, key)
+        land_events(judged(spark), path, key)
+    before = read_events(spark, path)
+    compact_hours(spark, path, HOUR, HOUR + timedelta(days=9), grace=timedelta(hours=1))
+    assert before.count() == 6 and read_events(spark, path).count() == 6
+    assert len(files_below(path, ".parquet")) == 9
+    compact_hours(spark, path, HOUR, HOUR + timedelta(days=9))
+    assert read_events(spark, path).count() == 6 and len(files_below(path, ".parquet")) == 3
+
+
+def test_replay_after_compaction_changes_nothing(spark, tmp_path):
+    """Also for a write over several hours, some of them merged and some not."""
+    path = str(tmp_path / "lake")
+    for key in range(2):
+        land_events(judged(spark), path, key)
     compact_hours(spark, path, HOUR, HOUR + timedelta(hours=1))
-    with pytest.raises(ValueError):
-        land_events(judged(spark, STAMPS[:1]), path, 1)
+    for key in range(2):
+        land_events(judged(spark), path, key)
+    rows = rows_of(read_written(spark, path).drop("extra"))
+    assert sorted(r["batch_id"] for r in rows) == ["0"] * 3 + ["1"] * 3
+
+
+def test_parts_of_hours_count_whole(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    stamps = ["2024-03-01 10:10:00", "2024-03-01 11:00:00", "2024-03-01 12:59:00", "2024-03-01 13:00:00"]
+    for key in range(2):
+        land_events(judged(spark, stamps), path, key)
+    since, until = datetime(2024, 3, 1, 10, 30), datetime(2024, 3, 1, 12, 10)
+    create_event_table(spark, "part_hours", path)
+    assert sync_since(spark, "part_hours", path, since, until) == 3
+    assert compact_hours(spark, path, since, until) == 3
+    assert compact_hours(spark, path, since, until.replace(minute=0)) == 0
+    assert read_events(spark, path).count() == 8
+
+
+def test_notes_of_done_writes_are_gathered(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("plateflow.sources.notes.NOTES_KEPT", 2)
+    path = str(tmp_path / "lake")
+    keys = ["0007", "0008", "0009", "12", "backfill", "0011"]
+    for key in keys:
+        land_events(judged(spark, STAMPS[:1]), path, key)
+        compact_hours(spark, path, HOUR, HOUR + timedelta(hours=1))
+    notes = LakeNotes(spark, path)
+    assert all(notes.is_done(key) for key in keys)
+    assert not any(notes.is_done(key) for key in ("0006", "0010", "08", "8", "back", "13"))
+    assert len(notes.lake.names("_writes/ledger")) == 1 and len(notes.lake.names("_writes/done")) <= 2
+    for key in keys:
+        land_events(judged(spark, STAMPS[:1]), path, key)
+    assert read_events(spark, path).count() == 6
 
 
 def test_quarantine_folders(spark, tmp_path):

@@ -25,6 +25,7 @@ from plateflow.plans.health import (
     ingest_summary,
     rejection_summary,
 )
+from plateflow.plans.partials import STORED_REPORTS, store_days
 from plateflow.plans.registry import REPORTS
 from plateflow.schema import ARRIVAL_PARTITIONS
 from plateflow.plans.rollup import daily_rollup, rolled_up
@@ -40,6 +41,7 @@ from plateflow.sources.lake import (
     read_written,
 )
 from plateflow.sources.payloads import read_payloads
+from plateflow.sources.schema_log import read_hourly_schemas, schema_changes, store_hourly_schemas
 from plateflow.sources.scratch import scratch_folder
 from plateflow.streaming.ingest import IngestTarget, start_ingest
 from plateflow.streaming.metrics import start_metric
@@ -168,6 +170,15 @@ def _catalog_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_event_table(spark, table).select("event_id", "event_type", *ARRIVAL_PARTITIONS)
 
 
+def _payload_schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema log of all hours, of which the last days are stored twice."""
+    path = scratch_folder(spark, "schemas")
+    judged = _judged(spark, sf_dir)
+    store_hourly_schemas(judged, path)
+    store_hourly_schemas(arrival_window(judged, AS_OF, 2), path)
+    return schema_changes(read_hourly_schemas(spark, path))
+
+
 def _report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report stored, stored again, and read back."""
     out = scratch_folder(spark, "reports")
@@ -177,6 +188,20 @@ def _report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report(spark, "device_breakdown", out)
 
 
+def _from_partials(name: str) -> Query:
+    """A report from day partials: all days stored at first, the last two again."""
+    report, partial = STORED_REPORTS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_folder(spark, "partials")
+        events = _events(spark, sf_dir)
+        store_days(events, path, partial)
+        store_days(events, path, partial, AS_OF, 2)
+        return report(spark, path, AS_OF) if name != "restaurant_device_pivot" else report(spark, path)
+
+    return run
+
+
 def _suite_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = run_reports(spark, _events(spark, sf_dir), as_of=AS_OF)
     rows = [(r.name, r.status, len(r.rows), r.truncated) for r in results]
@@ -288,6 +313,7 @@ def queries() -> dict[str, Query]:
             lambda j: ingest_error_alarm(j, threshold=LOW_ALARM_ERRORS)
         ),
         "payload_drift": _over_judged(payload_drift),
+        "payload_schema_versions": _payload_schema_versions,
         "landed_json": _landed("json"),
         "landed_parquet": _landed("parquet"),
         "landed_rejects": _landed_rejects,
@@ -295,6 +321,7 @@ def queries() -> dict[str, Query]:
         "replayed_lake": _replayed_lake,
         "catalog_events": _catalog_events,
         "report_table": _report_table,
+        **{f"{name}_from_partials": _from_partials(name) for name in STORED_REPORTS},
         "suite_status": _suite_status,
         "stream_alarm": _stream_alarm,
         "stream_dedup": _stream_dedup,

@@ -378,6 +378,52 @@ PAYLOAD_QUERIES = {
     "replayed_lake": f"""SELECT {PARTITIONS}, count(*) AS events, 1 AS files,
         count(DISTINCT seq % 2) AS batches, round(sum(price), 2) AS price_sum
         FROM judged WHERE status = 200 GROUP BY ALL""",
+    "payload_schema_versions": """
+        , members AS (
+            SELECT strftime(ingested_at, '%Y-%m-%d-%H') AS hour_key, unnest(list_filter([
+                {'c': 'event_id', 'k': 2}, {'c': 'restaurant_id', 'k': 2}, {'c': 'timestamp', 'k': 2},
+                {'c': 'session_id', 'k': CASE WHEN form = 8 THEN 0 ELSE 2 END},
+                {'c': 'event_type', 'k': 2}, {'c': 'menu_item_id', 'k': 2}, {'c': 'menu_item_name', 'k': 2},
+                {'c': 'category', 'k': 2}, {'c': 'platform', 'k': 2},
+                {'c': 'price', 'k': CASE WHEN form IN (13, 15) THEN 2 WHEN form = 19 THEN 4
+                                         WHEN form = 20 THEN 8 ELSE 1 END},
+                {'c': 'device_type', 'k': CASE WHEN form <> 7 THEN 2 END},
+                {'c': 'body', 'k': CASE WHEN form = 3 THEN 0 END},
+                {'c': 'user_id', 'k': CASE WHEN form = 16 THEN 2 END},
+                {'c': 'ingested_at', 'k': CASE WHEN form = 16 THEN 2 END}
+            ], m -> m.k IS NOT NULL)) AS m
+            FROM judged WHERE form NOT IN (4, 5, 6, 17)
+        ),
+        hours AS (SELECT hour_key, m.c AS col, bit_or(m.k) AS kinds FROM members GROUP BY ALL),
+        numbered AS (SELECT hour_key, row_number() OVER (ORDER BY hour_key) AS number
+                     FROM (SELECT DISTINCT hour_key FROM hours)),
+        merged AS (
+            SELECT col, number, bit_or(kinds) OVER upto AS now,
+                   lag(number) OVER by_hour AS last_seen, lead(number) OVER by_hour AS next_seen
+            FROM hours JOIN numbered USING (hour_key)
+            WINDOW by_hour AS (PARTITION BY col ORDER BY number),
+                   upto AS (PARTITION BY col ORDER BY number ROWS UNBOUNDED PRECEDING)
+        ),
+        named AS (
+            SELECT col, number, last_seen, next_seen,
+                   CASE now WHEN 0 THEN 'null' WHEN 1 THEN 'number' WHEN 2 THEN 'string' WHEN 4 THEN 'boolean'
+                            WHEN 8 THEN 'array' ELSE 'mixed' END AS kind
+            FROM merged
+        ),
+        steps AS (SELECT *, lag(kind) OVER (PARTITION BY col ORDER BY number) AS was FROM named),
+        changes AS (
+            SELECT col, number, was AS old_type, kind AS new_type,
+                   CASE WHEN was IS NULL THEN 'added' WHEN was <> kind THEN 'type' ELSE 'returned' END AS change
+            FROM steps WHERE was IS NULL OR was <> kind OR last_seen < number - 1
+            UNION ALL
+            SELECT col, number + 1, kind, NULL, 'missing' FROM named
+            WHERE next_seen IS DISTINCT FROM number + 1
+        ),
+        starts AS (SELECT DISTINCT number FROM changes WHERE change IN ('added', 'type'))
+        SELECT (SELECT count(*) FROM starts s WHERE s.number <= c.number)::INTEGER AS version,
+               hour_key[1:4] AS "year", hour_key[6:7] AS "month", hour_key[9:10] AS "day",
+               hour_key[12:13] AS "hour", col AS "column", change, old_type, new_type
+        FROM changes c JOIN numbered USING (number)""",
     "catalog_events": f"""SELECT event_id, event_type, {PARTITIONS} FROM judged
         WHERE status = 200 AND CAST(ingested_at AS DATE) {WEEK}""",
     "stream_dedup": """SELECT event_id, min(price) AS price FROM judged WHERE status = 200
@@ -401,6 +447,8 @@ PAYLOAD_QUERIES |= {name: LANDED for name in ("landed_json", "landed_parquet")}
 
 # Stored and fetched results, by report.
 SUITE_QUERIES = {
+    **{f"{name}_from_partials": EVENT_QUERIES[name]
+       for name in ("device_breakdown", "restaurant_device_pivot", "category_analysis")},
     "report_table": f"""SELECT * FROM ({EVENT_QUERIES["device_breakdown"]})""",
     "suite_status": f"""
         SELECT name, status, least(n, 30) AS fetched, n > 30 AS truncated

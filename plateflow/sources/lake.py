@@ -130,12 +130,12 @@ def compact_hours(
     """
     notes = LakeNotes(spark, path)
     lake = notes.lake
-    notes.finish(COMPACTED, grace)
+    notes.finish(grace)
     found = [f"{lake.path}/{hour}" for hour in map(hour_folder, hours_between(since, until)) if lake.exists(hour)]
     if not found:
         return 0
     listed = spark.read.format("binaryFile").option("basePath", lake.path).load(found)
-    hidden = set(notes.hidden(COMPACTED))
+    hidden = set(notes.hidden())
     by_hour: dict[tuple, list[str]] = {}
     for file in listed.select("path", *ARRIVAL_PARTITIONS).collect():
         if file["path"].rpartition("/")[2] not in hidden:
@@ -148,7 +148,7 @@ def compact_hours(
     partitions = list(ARRIVAL_PARTITIONS)
     _writer(_gathered(rows, partitions), partitions, file_format).save(f"{lake.path}/{notes.staged(note)}")
     notes.replace(note, old, COMPACTED)
-    notes.finish(COMPACTED, grace)
+    notes.finish(grace)
     return sum(len(names) > 1 for names in by_hour.values())
 
 
@@ -159,7 +159,7 @@ def _reader(spark: SparkSession, schema: T.StructType, file_format: str):
 
 def visible(rows: DataFrame, path: str) -> DataFrame:
     """Rows of a lake without the files that its notes hide now."""
-    hidden = LakeNotes(rows.sparkSession, path).hidden(COMPACTED)
+    hidden = LakeNotes(rows.sparkSession, path).hidden()
     return rows.filter(~F.col("_metadata.file_name").isin(hidden)) if hidden else rows
 
 

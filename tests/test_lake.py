@@ -199,6 +199,9 @@ def test_replaced_files_stay_for_readers_that_began_before(spark, tmp_path):
     for key in range(2):
         land_events(judged(spark), path, key)
     before = read_events(spark, path)
+    compact_hours(spark, path, HOUR, HOUR + timedelta(hours=1), grace=timedelta(hours=1))
+    assert before.count() == 6 and read_events(spark, path).count() == 6
+    assert len(files_below(path, ".parquet")) == 7
     compact_hours(spark, path, HOUR, HOUR + timedelta(days=9), grace=timedelta(hours=1))
     assert before.count() == 6 and read_events(spark, path).count() == 6
     assert len(files_below(path, ".parquet")) == 9

@@ -1,0 +1,84 @@
+import json
+
+from pyspark.sql import functions as F
+
+from builders import payload_frame, rows_of
+from plateflow.operators.enrichment import enrich
+from plateflow.operators.validation import validate_events
+from plateflow.sources.schema_log import (
+    hourly_schemas,
+    read_hourly_schemas,
+    schema_changes,
+    schema_of_version,
+    store_hourly_schemas,
+)
+
+
+def judged(spark, by_hour):
+    """Payloads of hours given as ``(day, hour, payloads)``."""
+    stamped = [(f"2024-03-{day:02d} {hour:02d}:20:00", own) for day, hour, rows in by_hour for own in rows]
+    texts = [own if isinstance(own, str) else json.dumps(own) for _, own in stamped]
+    times = spark.createDataFrame([(n, stamp) for n, (stamp, _) in enumerate(stamped)], "row int, stamp string")
+    return validate_events(enrich(payload_frame(spark, texts).join(times, "row"), F.to_timestamp("stamp")))
+
+
+HOURS = [
+    (1, 7, [{"price": 1, "name": "a"}, {"price": 2.5, "name": None}, "no json"]),
+    (1, 9, [{"price": "3", "name": "b", "note": None}]),
+    (2, 0, [{"price": 1, "note": {"deep": [1]}}, {"price": 1, "note": {"deep": [2, "x"]}}]),
+    (2, 1, [{"name": "c", "price": 0, "tags": [1, 2], "odd name": True}]),
+]
+
+
+def changes_of(frame):
+    return sorted(
+        (r["version"], r["day"], r["hour"], r["column"], r["change"], r["old_type"], r["new_type"])
+        for r in rows_of(frame)
+    )
+
+
+CHANGES = sorted(
+    [
+        (1, "01", "07", "name", "added", None, "string"),
+        (1, "01", "07", "price", "added", None, "number"),
+        (2, "01", "09", "note", "added", None, "null"),
+        (2, "01", "09", "price", "type", "number", "mixed"),
+        (3, "02", "00", "name", "missing", "string", None),
+        (3, "02", "00", "note", "type", "null", "object"),
+        (4, "02", "01", "name", "returned", "string", "string"),
+        (4, "02", "01", "note", "missing", "object", None),
+        (4, "02", "01", "odd name", "added", None, "boolean"),
+        (4, "02", "01", "tags", "added", None, "array"),
+    ]
+)
+
+
+def test_changes_by_hour(spark):
+    assert changes_of(schema_changes(hourly_schemas(judged(spark, HOURS)))) == sorted(CHANGES)
+
+
+def test_objects_without_any_change(spark):
+    hours = [(1, hour, [{"a": 1}, {"a": hour}]) for hour in range(4)]
+    assert changes_of(schema_changes(hourly_schemas(judged(spark, hours)))) == [(1, "01", "00", "a", "added", None, "number")]
+
+
+def test_stored_days_replace_themselves(spark, tmp_path):
+    path = str(tmp_path / "schemas")
+    assert changes_of(schema_changes(read_hourly_schemas(spark, path))) == []
+    store_hourly_schemas(judged(spark, HOURS[:2]), path)
+    store_hourly_schemas(judged(spark, HOURS[2:3]), path)
+    store_hourly_schemas(judged(spark, HOURS[2:]), path)
+    store_hourly_schemas(judged(spark, HOURS[2:]), path)
+    stored = read_hourly_schemas(spark, path)
+    assert changes_of(schema_changes(stored)) == sorted(CHANGES)
+    counts = {(r["day"], r["hour"], r["column"]): r["payloads"] for r in rows_of(stored)}
+    assert counts["01", "07", "name"] == 2 and counts["02", "00", "note"] == 2
+
+
+def test_schema_of_a_version_reads_the_payloads(spark):
+    changes = schema_changes(hourly_schemas(judged(spark, HOURS)))
+    assert schema_of_version(changes, 1) == "`name` string, `price` double"
+    ddl = schema_of_version(changes, 4)
+    assert ddl == "`name` string, `note` variant, `odd name` boolean, `price` variant, `tags` variant"
+    row = spark.createDataFrame([(json.dumps(HOURS[3][2][0]),)], "j string").select(F.from_json("j", ddl).alias("r")).select("r.*")
+    assert rows_of(row.select("name", "`odd name`"))[0] == {"name": "c", "odd name": True}

@@ -24,7 +24,6 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import ahocorasick
 import pyarrow as pa
@@ -149,9 +148,19 @@ class Rule:
     weight: float
 
 
-@cache
+# What is made once in each process.  A plain dictionary travels by value with the functions that use it,
+# unlike their memos, which executors would look for in an installed package.
+_made: dict[str, object] = {}
+
+
 def rules() -> tuple[Rule, ...]:
     """All rules, by priority: tags, then statements, then the other forms from grant to title."""
+    if "rules" not in _made:
+        _made["rules"] = _make_rules()
+    return _made["rules"]
+
+
+def _make_rules() -> tuple[Rule, ...]:
     made = []
     for number, (form, shape, keyword, weight) in enumerate(FORMS):
         for label, title, literal, tag in LICENSES:
@@ -165,9 +174,14 @@ def rules() -> tuple[Rule, ...]:
     )
 
 
-@cache
 def _gate() -> ahocorasick.Automaton:
     """Keywords with the numbers of the rules they open."""
+    if "gate" not in _made:
+        _made["gate"] = _make_gate()
+    return _made["gate"]
+
+
+def _make_gate() -> ahocorasick.Automaton:
     opened: dict[str, list[int]] = {}
     for number, rule in enumerate(rules()):
         for keyword in rule.keywords:
@@ -202,9 +216,10 @@ class Detection:
 def detect(words: str) -> list[Detection]:
     """Detections in a text of single-spaced words that no other one suppresses, in order of place."""
     opened = {number for _, numbers in _gate().iter(words) for number in numbers}
+    known = rules()
     found = []
     for number in opened:
-        rule = rules()[number]
+        rule = known[number]
         found.extend((rule.priority, -len(m[0]), *m.span(), number) for m in rule.pattern.finditer(words))
     starts = sorted({start for _, _, start, _, _ in found})
     reach = _Reach(len(starts))
@@ -218,7 +233,7 @@ def detect(words: str) -> list[Detection]:
     for start, end, number in sorted(taken):
         first += words.count(" ", upto, start)
         upto = start
-        rule = rules()[number]
+        rule = known[number]
         detections.append(Detection(rule.label, first, first + words.count(" ", start, end), rule.weight))
     return detections
 

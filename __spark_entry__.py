@@ -43,6 +43,7 @@ from plateflow.sources.lake import (
 from plateflow.sources.payloads import read_payloads
 from plateflow.sources.schema_log import read_hourly_schemas, schema_changes, store_hourly_schemas
 from plateflow.sources.scratch import scratch_folder
+from plateflow.streaming.alarm import alarm_transitions
 from plateflow.streaming.ingest import IngestTarget, start_ingest
 from plateflow.streaming.metrics import start_metric
 
@@ -233,9 +234,9 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed_metric(
-    spark: SparkSession, sf_dir: str, metric: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, sf_dir: str, metric: Callable[[DataFrame], DataFrame], mode: str = "complete"
 ) -> DataFrame:
-    """A five-minute metric as a stream over the test table, all windows written at the end."""
+    """A five-minute metric as a stream over the test table; ``complete`` writes open windows too."""
     configure_session(spark)
     root = scratch_folder(spark, "rates")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -246,7 +247,7 @@ def _streamed_metric(
     )
     judged = validate_events(payload_lines(derive_events(rows)))
     start_metric(
-        metric(judged), f"{root}/out", f"{root}/checkpoint", "complete", available_now=True
+        metric(judged), f"{root}/out", f"{root}/checkpoint", mode, available_now=True
     ).awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
@@ -261,6 +262,15 @@ def _stream_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_alarm_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed_metric(
+        spark,
+        sf_dir,
+        lambda judged: alarm_transitions(judged, "restaurant_id", LOW_ALARM_ERRORS),
+        "append",
+    )
+
+
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payloads twice, in several micro-batches, with repeated ids dropped."""
     root = scratch_folder(spark, "dedup")
@@ -273,6 +283,18 @@ def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, target.events).select("event_id", "price")
 
 
+def _stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payloads three times, in three batches with a restart before each, repeats known from the state."""
+    root = scratch_folder(spark, "dedup-state")
+    target = IngestTarget(f"{root}/events", f"{root}/rejects", f"{root}/checkpoint")
+    lines = _lines(spark, sf_dir).select("value")
+    for _ in range(3):
+        lines.write.mode("append").text(f"{root}/payloads")
+        stream = read_payloads(spark, f"{root}/payloads", streaming=True)
+        start_ingest(stream, target, available_now=True, dedup_within="2 hours").awaitTermination()
+    return read_events(spark, target.events).select("event_id", "price")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the most popular items of the last seven days."""
     return queries()["popular_items"](spark, "/root/testdata/sf0.001")
@@ -324,7 +346,9 @@ def queries() -> dict[str, Query]:
         **{f"{name}_from_partials": _from_partials(name) for name in STORED_REPORTS},
         "suite_status": _suite_status,
         "stream_alarm": _stream_alarm,
+        "stream_alarm_transitions": _stream_alarm_transitions,
         "stream_dedup": _stream_dedup,
+        "stream_dedup_state": _stream_dedup_state,
         "stream_ingest": _stream_ingest,
         "stream_rejects": _stream_rejects,
         "stream_ingest_rate": _stream_ingest_rate,

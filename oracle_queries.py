@@ -364,6 +364,27 @@ PAYLOAD_QUERIES = {
         WHERE errors >= 2""",
     "stream_alarm": f"""SELECT window_start, window_end, errors FROM ({RATES})
         WHERE errors >= 2""",
+    "stream_alarm_transitions": """
+        , rates AS (
+            SELECT coalesce(restaurant_id, 'unknown') AS alarm,
+                   time_bucket(INTERVAL 5 MINUTE, ingested_at) AS start,
+                   count(*) FILTER (WHERE status = 400) AS errors
+            FROM judged GROUP BY ALL
+        ),
+        heard AS (SELECT date_trunc('milliseconds', max(ingested_at)) - INTERVAL 10 MINUTE AS upto FROM judged),
+        closed AS (SELECT rates.*, upto, lead(start) OVER (PARTITION BY alarm ORDER BY start) AS following
+                   FROM rates, heard WHERE start + INTERVAL 5 MINUTE <= upto),
+        states AS (
+            SELECT alarm, start AS "at", errors, CASE WHEN errors >= 2 THEN 'ALARM' ELSE 'OK' END AS state
+            FROM closed
+            UNION ALL
+            SELECT alarm, start + INTERVAL 5 MINUTE, 0, 'OK' FROM closed
+            WHERE following > start + INTERVAL 5 MINUTE
+               OR following IS NULL AND start + INTERVAL 10 MINUTE <= upto
+        ),
+        steps AS (SELECT *, lag(state) OVER (PARTITION BY alarm ORDER BY "at") AS was FROM states)
+        SELECT alarm, "at", was AS old_state, state AS new_state, errors FROM steps
+        WHERE was IS DISTINCT FROM state""",
     "payload_drift": """
         SELECT 'platform' AS "column", count(*) AS payloads, 'added' AS kind
         FROM judged WHERE form NOT IN (4, 5, 6, 17)
@@ -391,7 +412,7 @@ PAYLOAD_QUERIES = {
                 {'c': 'body', 'k': CASE WHEN form = 3 THEN 0 END},
                 {'c': 'user_id', 'k': CASE WHEN form = 16 THEN 2 END},
                 {'c': 'ingested_at', 'k': CASE WHEN form = 16 THEN 2 END}
-            ], m -> m.k IS NOT NULL)) AS m
+            ], lambda m: m.k IS NOT NULL)) AS m
             FROM judged WHERE form NOT IN (4, 5, 6, 17)
         ),
         hours AS (SELECT hour_key, m.c AS col, bit_or(m.k) AS kinds FROM members GROUP BY ALL),
@@ -428,6 +449,8 @@ PAYLOAD_QUERIES = {
         WHERE status = 200 AND CAST(ingested_at AS DATE) {WEEK}""",
     "stream_dedup": """SELECT event_id, min(price) AS price FROM judged WHERE status = 200
         GROUP BY event_id""",
+    "stream_dedup_state": """SELECT event_id, min(price) AS price FROM judged WHERE status = 200
+        GROUP BY event_id""",
     "stream_ingest": """
         SELECT event_type, count(*) AS events, round(sum(price), 2) AS price_sum,
                count(DISTINCT session_id) AS sessions

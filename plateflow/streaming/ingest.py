@@ -18,6 +18,10 @@ from plateflow.sources.lake import DEFAULT_FORMAT, land_events, land_rejects, re
 # Fixed value: buffering of the delivery stage.
 FLUSH_INTERVAL = "60 seconds"
 
+# State that outgrows memory is kept on the executors' disks, with its changes in the checkpoint.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 OBSERVATION = "ingest"
 HOUR_FOLDER = "yyyy-MM-dd-HH"
 
@@ -63,6 +67,22 @@ def drop_repeated_ids(
     return chosen.unionByName(rejected_events(judged))
 
 
+def first_within(judged: DataFrame, delay: str) -> DataFrame:
+    """Of accepted rows with the same id, within ``delay`` of arrival, the first; rejects are untouched.
+
+    The state holds one key per id until a batch has moved the watermark past its arrival and the delay,
+    whatever the lake holds; a repeat in between is dropped as well.  Rejects have keys of their own, which leave the state the same way.
+    """
+    own = F.concat(F.lit("id-"), F.col("event_id"))
+    key = F.when(F.col("status") == ACCEPTED, own).otherwise(F.concat(F.lit("row-"), F.uuid()))
+    return (
+        judged.withColumn("_key", key)
+        .withWatermark("ingested_at", delay)
+        .dropDuplicatesWithinWatermark(["_key"])
+        .drop("_key")
+    )
+
+
 def landed_ids(target: IngestTarget, batch: DataFrame, hours: int) -> DataFrame:
     """Ids in the lake from the arrival hours of ``batch`` and the ``hours`` before them."""
     span = batch.agg(
@@ -113,16 +133,21 @@ def start_ingest(
     available_now: bool = False,
     dedup_hours: int | None = None,
     now: Column | None = None,
+    dedup_within: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest of a payload stream.
 
     A batch starts every ``interval``; ``available_now`` takes what is there and stops.
-    ``dedup_hours`` drops ids that already landed within so many arrival hours.  A failing sink
-    fails the batch, and the checkpoint runs it again.
+    ``dedup_hours`` drops ids that already landed within so many arrival hours, which it looks up in the
+    lake; ``dedup_within``, such as ``2 hours``, drops those that this stream has seen, from its state.  A
+    failing sink fails the batch, and the checkpoint runs it again.
     """
+    judged = judged_stream(payloads, now)
+    if dedup_within is not None:
+        payloads.sparkSession.conf.set(STATE_STORE, ROCKS_DB)
+        judged = first_within(judged, dedup_within)
     writer = (
-        judged_stream(payloads, now)
-        .writeStream.queryName("plateflow-ingest")
+        judged.writeStream.queryName("plateflow-ingest")
         .option("checkpointLocation", target.checkpoint)
         .foreachBatch(land_batch(target, dedup_hours, one_hour=now is None))
     )

@@ -93,6 +93,45 @@ def test_repeated_ids_land_once_when_asked(spark, tmp_path):
     assert read_quarantine(spark, target.quarantine).count() == 4
 
 
+def test_repeats_are_known_from_the_state(spark, tmp_path, monkeypatch):
+    """Over several batches and a restart, without a look into the lake; a batch that fails is repeated."""
+    def no_lake(*args):
+        raise AssertionError("the lake was read")
+
+    monkeypatch.setattr(ingest_module, "read_window", no_lake)
+    target = target_in(tmp_path)
+    ingest(spark, add_file(tmp_path, "a.txt", TEXTS + TEXTS[:5] + ["junk"]), target, dedup_within="1 hour")
+    ingest(spark, add_file(tmp_path, "b.txt", TEXTS[3:8] + ["junk"]), target, dedup_within="1 hour")
+    plain = ingest_module.land_rejects
+
+    def failing(*args):
+        raise OSError("quarantine gone")
+
+    more = add_file(tmp_path, "c.txt", TEXTS[:1] + [payload_text(event_id="new"), "junk"])
+    monkeypatch.setattr(ingest_module, "land_rejects", failing)
+    with pytest.raises(Exception, match="quarantine gone"):
+        ingest(spark, more, target, dedup_within="1 hour")
+    monkeypatch.setattr(ingest_module, "land_rejects", plain)
+    query = ingest(spark, more, target, dedup_within="1 hour")
+    landed = [r["event_id"] for r in rows_of(read_events(spark, target.events).select("event_id"))]
+    assert sorted(landed) == sorted([f"e{n}" for n in range(20)] + ["new"])
+    assert read_quarantine(spark, target.quarantine).count() == 5
+    state = query.lastProgress.stateOperators[0]
+    assert state.operatorName == "dedupeWithinWatermark"
+    assert any(name.startswith("rocksdb") for name in state.customMetrics)
+
+
+def test_ids_leave_the_state_after_the_delay(spark, tmp_path):
+    target = target_in(tmp_path)
+    for name, hour in (("a.txt", 0), ("b.txt", 1), ("c.txt", 9), ("d.txt", 10)):
+        stamp = F.to_timestamp(F.lit(f"2024-03-01 {hour:02d}:00:00"))
+        source = add_file(tmp_path, name, [payload_text(event_id="e")])
+        query = ingest(spark, source, target, dedup_within="2 hours", now=stamp)
+    hours = sorted(r["hour"] for r in rows_of(read_events(spark, target.events).select("hour")))
+    # The batch of nine o'clock moves the watermark, the next one lands the id again.
+    assert hours == ["00", "10"] and query.lastProgress.stateOperators[0].numRowsTotal == 1
+
+
 def test_batch_restarts_from_the_checkpoint_after_a_failed_sink(spark, tmp_path, monkeypatch):
     source = add_file(tmp_path, "a.txt", TEXTS)
     target = target_in(tmp_path)

@@ -50,6 +50,14 @@ class Folder:
                 result.append((relative, status.getLen()))
         return sorted(result)
 
+    def listed(self) -> list[str]:
+        """Paths of the files below the folder, relative to it, found by Spark; for folders with many."""
+        if not self.exists():
+            return []
+        found = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.path)
+        root = self._system.resolvePath(self._at()).toUri().getPath().rstrip("/") + "/"
+        return sorted(row["path"].partition(root)[2] for row in found.select("path").collect())
+
     def make(self, name: str = "") -> None:
         self._system.mkdirs(self._at(name))
 

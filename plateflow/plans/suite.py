@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import Future, ThreadPoolExecutor
 from concurrent.futures import TimeoutError as WaitTimeout
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import date
 from time import monotonic, time_ns
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plateflow.operators.windows import as_date
 from plateflow.plans.registry import CORE_REPORTS, REPORTS
 from plateflow.sources.files import Folder
-from plateflow.sources.guard import guard_scan
+from plateflow.sources.guard import ReadLimit, check_scan, guard_scan, plan_scan_bytes
 
 # Rows shown per report and seconds a report may take.
 FETCH_ROWS = 30
@@ -120,6 +121,7 @@ def _run_together(
     names: Iterable[str],
     work: Callable[[str], Fetched],
     max_wait: float | None,
+    read_limit: int | None = None,
 ) -> list[ReportResult]:
     """One driver thread per report, so their jobs share the cluster; each report's jobs carry a
     tag by which a report over its time is stopped."""
@@ -130,15 +132,20 @@ def _run_together(
 
     def one(name: str) -> ReportResult:
         started = monotonic()
-        spark.sparkContext.addJobTag(f"{run}-{name}")
+        tag = f"{run}-{name}"
+        limit = ReadLimit(spark, tag, read_limit) if read_limit is not None else None
+        spark.sparkContext.addJobTag(tag)
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         try:
-            got = work(name)
+            with limit or nullcontext():
+                got = work(name)
             result = ReportResult(name, SUCCEEDED, got.columns, got.rows, truncated=got.truncated)
         except Exception as problem:
-            result = ReportResult(name, FAILED, error=str(problem))
+            stopped = limit is not None and limit.exceeded
+            reason = f"query has read more than {read_limit} bytes" if stopped else str(problem)
+            result = ReportResult(name, FAILED, error=reason)
         finally:
-            spark.sparkContext.removeJobTag(f"{run}-{name}")
+            spark.sparkContext.removeJobTag(tag)
         result.seconds = monotonic() - started
         return result
 
@@ -178,13 +185,15 @@ def run_reports(
     reports: dict[str, Callable[..., DataFrame]] | None = None,
     max_bytes: int | None = None,
     lake: str | None = None,
+    scan_limit: int | None = None,
 ) -> list[ReportResult]:
     """Run reports at the same time and return the first rows of each.
 
     One report's failure does not affect the others.  Without names the core suite runs; for
     ``INGEST_REPORTS`` give these as ``reports`` and validated payloads as ``events``.  With
     ``max_bytes`` a report fails before it starts if its window of ``lake``, the folder of the events,
-    has more bytes.
+    has more bytes.  With ``scan_limit`` it fails if the files that its plan opens have more, whatever its
+    filters are, and is stopped if it has read more than that.
     """
     if max_bytes is not None and lake is None:
         raise ValueError("max_bytes needs the lake's folder")
@@ -198,9 +207,12 @@ def run_reports(
     def work(name: str) -> Fetched:
         if max_bytes is not None:
             guard_scan(spark, lake, day, window_days(known[name]), max_bytes)
-        return fetch(known[name](events, day), max_rows)
+        report = known[name](events, day)
+        if scan_limit is not None:
+            check_scan(plan_scan_bytes(report), scan_limit)
+        return fetch(report, max_rows)
 
-    return _run_together(spark, chosen, work, max_wait)
+    return _run_together(spark, chosen, work, max_wait, scan_limit)
 
 
 def refresh_report_tables(

@@ -133,13 +133,12 @@ def validate_events(df: DataFrame, text: str = "value") -> DataFrame:
         return F.get(F.array(*[F.lit(value) for value in values]), F.col("_failure") - 1)
 
     fixed = looked_up([None if isinstance(c.message, Column) else c.message for c in checks])
-    composed = _first(
-        [
-            (F.col("_failure") == n, check.message)
-            for n, check in enumerate(checks, 1)
-            if isinstance(check.message, Column)
-        ]
-    )
+    shown = {n: check.message for n, check in enumerate(checks, 1) if isinstance(check.message, Column)}
+    # In a lambda, which is evaluated outside of the generated code and for these failures only; with the
+    # messages in it that code would be too large to be compiled to machine code.
+    each = F.when(F.col("_failure").isin(*shown), F.array(F.col("_failure")))
+    messages = F.transform(each, lambda number: _first([(number == n, text) for n, text in shown.items()]))
+    composed = F.get(messages, F.lit(0))
     # Plain columns over the failure number: a reader of the status alone drops the look-ups and
     # messages, and a filter on it moves no further down than the number.
     judged = rows.withColumns(

@@ -29,6 +29,7 @@ from plateflow.plans.partials import STORED_REPORTS, store_days
 from plateflow.plans.registry import REPORTS
 from plateflow.schema import ARRIVAL_PARTITIONS
 from plateflow.plans.rollup import daily_rollup, rolled_up
+from plateflow.plans.skew_sketches import RANK_ERROR, clock_skew_stored, store_hourly_skew
 from plateflow.plans.suite import read_report, refresh_report_tables, run_reports
 from plateflow.sources.catalog import create_event_table, payload_drift, read_event_table, sync_since
 from demo_tables import AS_OF, base_events, clickstream, derive_events, payload_lines
@@ -203,6 +204,25 @@ def _from_partials(name: str) -> Query:
     return run
 
 
+def _clock_skew_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clock skew of the last week from sketches of hours; its percentile by whether its rank is right."""
+    path = scratch_folder(spark, "skew")
+    events = _events(spark, sf_dir)
+    store_hourly_skew(events, path)
+    store_hourly_skew(events, path, AS_OF, 2)
+    found = clock_skew_stored(spark, path, AS_OF, 7)
+    skew = (F.unix_micros("ingested_at") - F.unix_micros("event_ts")) / 1e6
+    week = arrival_window(events, AS_OF, 7).select("device_type", skew.alias("skew"))
+    ranks = week.join(found.select("device_type", "p95_skew_s"), "device_type").groupBy("device_type").agg(
+        (F.count_if(F.col("skew") < F.col("p95_skew_s")) / F.count("skew")).alias("below"),
+        (F.count_if(F.col("skew") <= F.col("p95_skew_s")) / F.count("skew")).alias("upto"),
+    )
+    right = (F.col("below") <= 0.95 + RANK_ERROR) & (F.col("upto") >= 0.95 - RANK_ERROR)
+    return found.join(ranks, "device_type").select(
+        "device_type", "events", "unparsed", "min_skew_s", "max_skew_s", "negative", right.alias("p95_right")
+    )
+
+
 def _suite_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = run_reports(spark, _events(spark, sf_dir), as_of=AS_OF)
     rows = [(r.name, r.status, len(r.rows), r.truncated) for r in results]
@@ -344,6 +364,7 @@ def queries() -> dict[str, Query]:
         "catalog_events": _catalog_events,
         "report_table": _report_table,
         **{f"{name}_from_partials": _from_partials(name) for name in STORED_REPORTS},
+        "clock_skew_stored": _clock_skew_stored,
         "suite_status": _suite_status,
         "stream_alarm": _stream_alarm,
         "stream_alarm_transitions": _stream_alarm_transitions,

@@ -316,6 +316,13 @@ EVENT_QUERIES = {
                   FROM clickstream)
             GROUP BY device_type
         )""",
+    "clock_skew_stored": f"""
+        SELECT device_type, count(*) AS events, count(*) FILTER (WHERE skew IS NULL) AS unparsed,
+               min(skew) / 1e6 AS min_skew_s, max(skew) / 1e6 AS max_skew_s,
+               count(*) FILTER (WHERE skew < 0) AS negative, true AS p95_right
+        FROM (SELECT device_type, epoch_us(ingested_at) - epoch_us(event_ts) AS skew
+              FROM clickstream WHERE arrival {WEEK})
+        GROUP BY device_type""",
     "late_arrivals": f"""
         SELECT {FIELDS}, {EXTRA}, {PARTITIONS} FROM clickstream
         WHERE arrival {WEEK} AND NOT event_date {WEEK}""",

@@ -14,7 +14,7 @@ from plateflow.sources.payloads import read_payloads
 from plateflow.streaming import ingest as ingest_module
 from plateflow.streaming.ingest import IngestTarget, drop_repeated_ids, land_batch, start_ingest
 from plateflow.streaming.metrics import start_metric
-from plateflow.streaming.progress import DurationListener
+from plateflow.streaming.progress import DurationListener, read_durations
 
 
 def target_in(tmp_path, **changes):
@@ -213,6 +213,22 @@ def test_mean_duration_per_period(spark):
     assert rows[1]["window_start"] - rows[0]["window_start"] == timedelta(minutes=5)
 
 
+def test_means_survive_a_restart(spark, tmp_path):
+    path = str(tmp_path / "durations")
+    first, second = DurationListener(), DurationListener()
+    first.record("q", "2024-03-01T00:00:01.000Z", 100)
+    assert first.store(spark, path) == 1 and first.store(spark, path) == 0
+    first.record("q", "2024-03-01T00:00:02.000Z", 200)
+    first.record("q", "2024-03-02T00:00:02.000Z", 7)
+    with pytest.raises(Exception):
+        first.store(spark, "nofilesystem://x/y")
+    assert first.store(spark, path) == 2
+    second.record("q", "2024-03-01T00:04:59.000Z", 600)
+    second.store(spark, path)
+    rows = sorted(rows_of(read_durations(spark, path)), key=lambda r: r["window_start"])
+    assert [(r["batches"], r["mean_ms"]) for r in rows] == [(3, 300.0), (1, 7.0)]
+
+
 def test_listener_hears_the_stream(spark, tmp_path):
     listener = DurationListener()
     spark.streams.addListener(listener)

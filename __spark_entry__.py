@@ -30,7 +30,9 @@ from plateflow.plans.registry import REPORTS
 from plateflow.schema import ARRIVAL_PARTITIONS
 from plateflow.plans.rollup import daily_rollup, rolled_up
 from plateflow.plans.skew_sketches import RANK_ERROR, clock_skew_stored, store_hourly_skew
-from plateflow.plans.suite import read_report, refresh_report_tables, run_reports
+from plateflow.plans.sql_functions import call as call_function
+from plateflow.plans.sql_functions import register_table_functions
+from plateflow.plans.suite import read_report, refresh_report_tables, register_report_view, run_reports
 from plateflow.sources.catalog import create_event_table, payload_drift, read_event_table, sync_since
 from demo_tables import AS_OF, base_events, clickstream, derive_events, payload_lines
 from plateflow.sources.lake import (
@@ -223,6 +225,18 @@ def _clock_skew_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _table_function(name: str, days: int) -> Query:
+    """A report called from SQL."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        view = f"clickstream_{uuid4().hex}"
+        register_report_view(_events(spark, sf_dir), view)
+        register_table_functions(spark, view)
+        return call_function(spark, name, AS_OF, days)
+
+    return run
+
+
 def _suite_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = run_reports(spark, _events(spark, sf_dir), as_of=AS_OF)
     rows = [(r.name, r.status, len(r.rows), r.truncated) for r in results]
@@ -365,6 +379,8 @@ def queries() -> dict[str, Query]:
         "report_table": _report_table,
         **{f"{name}_from_partials": _from_partials(name) for name in STORED_REPORTS},
         "clock_skew_stored": _clock_skew_stored,
+        "device_breakdown_of": _table_function("device_breakdown_of", 7),
+        "category_conversion_of": _table_function("category_conversion_of", 30),
         "suite_status": _suite_status,
         "stream_alarm": _stream_alarm,
         "stream_alarm_transitions": _stream_alarm_transitions,

@@ -477,6 +477,8 @@ PAYLOAD_QUERIES |= {name: LANDED for name in ("landed_json", "landed_parquet")}
 
 # Stored and fetched results, by report.
 SUITE_QUERIES = {
+    "device_breakdown_of": EVENT_QUERIES["device_breakdown"],
+    "category_conversion_of": EVENT_QUERIES["category_conversion"],
     **{f"{name}_from_partials": EVENT_QUERIES[name]
        for name in ("device_breakdown", "restaurant_device_pivot", "category_analysis")},
     "report_table": f"""SELECT * FROM ({EVENT_QUERIES["device_breakdown"]})""",

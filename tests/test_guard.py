@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from builders import event_frame
 from plateflow.operators.windows import arrival_window
 from plateflow.plans.registry import REPORTS
+from plateflow.plans.sql_functions import call, register_table_functions
 from plateflow.plans.suite import run_reports
 from plateflow.schema import ARRIVAL_PARTITIONS
 from plateflow.sources.guard import ReadLimit, ScanLimitExceeded, check_scan, plan_scan_bytes
@@ -64,6 +65,19 @@ def test_reports_are_refused_by_their_plans(spark, lake):
     assert f"limit is {limit}" in found[2].error
 
 
+def test_table_functions_read_their_window_only(spark, lake):
+    events, path = lake
+    events.createOrReplaceTempView("function_events")
+    assert register_table_functions(spark, "function_events") == ["device_breakdown_of", "category_conversion_of"]
+    two_days = call(spark, "device_breakdown_of", "2024-03-06", 2)
+    assert plan_scan_bytes(two_days) == sizes(path, "day=05") + sizes(path, "day=06")
+    whole = call(spark, "device_breakdown_of", "2024-03-09")
+    expected = REPORTS["device_breakdown"](events, "2024-03-09", 7)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, expected.collect()))
+    joined = spark.sql("SELECT count(*) AS n FROM VALUES (DATE '2024-03-02'), (DATE '2024-03-04') AS d(last), LATERAL device_breakdown_of(last, 1)")
+    assert joined.first()["n"] == 2
+
+
 def test_jobs_are_stopped_when_they_have_read_too_much(spark, lake, tmp_path):
     path = str(tmp_path / "texts")
     spark.range(4000, numPartitions=40).select(F.sha2(F.col("id").cast("string"), 512).alias("value")).write.text(path)

@@ -19,6 +19,7 @@ from plateflow.operators.enrichment import enrich, event_records, quarantine_rec
 from plateflow.operators.validation import acknowledge, validate_events
 from plateflow.operators.windows import arrival_window, event_window, of_types
 from plateflow.plans.categories import category_analysis_joined
+from plateflow.plans.devices import device_platform_mix
 from plateflow.plans.health import (
     ingest_error_alarm,
     ingest_rate_5min,
@@ -47,6 +48,7 @@ from plateflow.sources.payloads import read_payloads
 from plateflow.sources.schema_log import read_hourly_schemas, schema_changes, store_hourly_schemas
 from plateflow.sources.scratch import scratch_folder
 from plateflow.streaming.alarm import alarm_transitions
+from plateflow.streaming.flush import FlushPolicy, flushed_ingest
 from plateflow.streaming.ingest import IngestTarget, start_ingest
 from plateflow.streaming.metrics import start_metric
 
@@ -116,6 +118,13 @@ def _landed(file_format: str) -> Query:
     return run
 
 
+def _platform_mix_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The platform report over a Parquet lake, whose extras are shredded into columns."""
+    path = scratch_folder(spark, "shredded")
+    land_events(_judged(spark, sf_dir), path)
+    return device_platform_mix(read_events(spark, path))
+
+
 def _landed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "quarantine")
     land_rejects(_judged(spark, sf_dir), path)
@@ -329,6 +338,38 @@ def _stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, target.events).select("event_id", "price")
 
 
+def _stream_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads in three deliveries, flushed at the start, by size, and by time after a restart."""
+    root = scratch_folder(spark, "flushes")
+    path = f"{root}/payloads"
+    target = IngestTarget(f"{root}/events", f"{root}/rejects", f"{root}/checkpoint")
+    lines = _lines(spark, sf_dir)
+    now = [0.0]
+    reasons = []
+
+    def deliver(number: int) -> None:
+        lines.filter(F.col("seq") % 3 == number).select("value").write.mode("append").text(path)
+
+    def loop(max_bytes: int):
+        stream = read_payloads(spark, path, streaming=True)
+        return flushed_ingest(stream, path, target, FlushPolicy(max_bytes), lambda: now[0])
+
+    deliver(0)
+    first = loop(1 << 10)
+    reasons.append(first.step())
+    deliver(1)
+    reasons.append(first.step())
+    second = loop(1 << 50)
+    second.step()
+    deliver(2)
+    reasons.append(second.step() or "waits")
+    now[0] += FlushPolicy().seconds
+    reasons[-1] += f", {second.step()}"
+    names = F.create_map(*(F.lit(x) for n, reason in enumerate(reasons) for x in (f"{n:08d}", reason)))
+    landed = read_written(spark, target.events).withColumn("flush", names[F.col("batch_id")])
+    return landed.groupBy("flush").agg(F.count("*").alias("events"), F.round(F.sum("price"), 2).alias("price_sum"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the most popular items of the last seven days."""
     return queries()["popular_items"](spark, "/root/testdata/sf0.001")
@@ -372,6 +413,7 @@ def queries() -> dict[str, Query]:
         "payload_schema_versions": _payload_schema_versions,
         "landed_json": _landed("json"),
         "landed_parquet": _landed("parquet"),
+        "device_platform_mix_landed": _platform_mix_landed,
         "landed_rejects": _landed_rejects,
         "compacted_lake": _compacted_lake,
         "replayed_lake": _replayed_lake,
@@ -386,6 +428,7 @@ def queries() -> dict[str, Query]:
         "stream_alarm_transitions": _stream_alarm_transitions,
         "stream_dedup": _stream_dedup,
         "stream_dedup_state": _stream_dedup_state,
+        "stream_flushes": _stream_flushes,
         "stream_ingest": _stream_ingest,
         "stream_rejects": _stream_rejects,
         "stream_ingest_rate": _stream_ingest_rate,

@@ -472,6 +472,14 @@ SELECT {PARTITIONS}, event_id, event_type, price,
        CASE WHEN form <> 18 THEN event_ts END AS event_ts, platform
 FROM judged WHERE status = 200"""
 
+PAYLOAD_QUERIES["stream_flushes"] = """
+SELECT CASE seq % 3 WHEN 0 THEN 'start' WHEN 1 THEN 'size' ELSE 'waits, time' END AS flush,
+       count(*) AS events, round(sum(price), 2) AS price_sum
+FROM judged WHERE status = 200 GROUP BY ALL"""
+PAYLOAD_QUERIES["device_platform_mix_landed"] = """
+SELECT device_type, platform, count(DISTINCT session_id) AS sessions,
+       count(*) FILTER (WHERE event_type = 'view') AS views
+FROM judged WHERE status = 200 GROUP BY device_type, platform"""
 PAYLOAD_QUERIES |= {name: LANDED for name in ("landed_json", "landed_parquet")}
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plateflow.operators.windows import as_date
 from plateflow.plans.registry import CORE_REPORTS, REPORTS
 from plateflow.sources.files import Folder
-from plateflow.sources.guard import ReadLimit, check_scan, guard_scan, plan_scan_bytes
+from plateflow.sources.guard import ReadLimit, check_scan, counted_reads, guard_scan, plan_scan_bytes
 
 # Rows shown per report and seconds a report may take.
 FETCH_ROWS = 30
@@ -212,7 +212,8 @@ def run_reports(
             check_scan(plan_scan_bytes(report), scan_limit)
         return fetch(report, max_rows)
 
-    return _run_together(spark, chosen, work, max_wait, scan_limit)
+    with counted_reads(spark) if scan_limit is not None else nullcontext():
+        return _run_together(spark, chosen, work, max_wait, scan_limit)
 
 
 def refresh_report_tables(

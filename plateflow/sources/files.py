@@ -36,6 +36,10 @@ class Folder:
         """Milliseconds since 1970 of the last change."""
         return self._system.getFileStatus(self._at(name)).getModificationTime()
 
+    def size(self) -> int:
+        """Bytes below the folder, hidden files included; one call, nothing is listed here."""
+        return self._system.getContentSummary(self._at()).getLength() if self.exists() else 0
+
     def files(self) -> list[tuple[str, int]]:
         """Paths below the folder, relative to it, with their bytes; hidden files are left out."""
         if not self.exists():

@@ -7,6 +7,8 @@ left after partition pruning.  Files of columns that a report doesn't need count
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 from threading import Event, Thread
 
@@ -18,6 +20,9 @@ from plateflow.sources.files import Folder
 # Fixed value: bytes one report may read.
 SCAN_LIMIT = 104_857_600
 
+# Vectored reads of Parquet run in threads whose bytes no task counts.
+VECTORED_READS = "parquet.hadoop.vectored.io.enabled"
+
 # Seconds between two looks at what a report has read.
 POLL_SECONDS = 0.5
 
@@ -92,10 +97,24 @@ def plan_scan_bytes(df: DataFrame) -> int:
     return sum(scan.selectedPartitions().totalFileSize() for scan in _scans(plan))
 
 
+@contextmanager
+def counted_reads(spark: SparkSession) -> Iterator[None]:
+    """Parquet scans that start in here read in the task's own thread, so that all their bytes count."""
+    before = spark.conf.get(VECTORED_READS, None)
+    spark.conf.set(VECTORED_READS, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(VECTORED_READS)
+        else:
+            spark.conf.set(VECTORED_READS, before)
+
+
 class ReadLimit:
     """Stops the jobs of a tag once they have read more than a limit.
 
-    Used as a context around the jobs.  ``exceeded`` says whether it has stopped them; what the running
+    Used as a context around the jobs, inside of ``counted_reads`` if they read Parquet.  ``exceeded`` says whether it has stopped them; what the running
     tasks read until then comes on top of the limit.
     """
 

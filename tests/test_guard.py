@@ -10,7 +10,7 @@ from plateflow.plans.registry import REPORTS
 from plateflow.plans.sql_functions import call, register_table_functions
 from plateflow.plans.suite import run_reports
 from plateflow.schema import ARRIVAL_PARTITIONS
-from plateflow.sources.guard import ReadLimit, ScanLimitExceeded, check_scan, plan_scan_bytes
+from plateflow.sources.guard import VECTORED_READS, ReadLimit, ScanLimitExceeded, check_scan, counted_reads, plan_scan_bytes
 
 
 @pytest.fixture(scope="module")
@@ -78,6 +78,20 @@ def test_table_functions_read_their_window_only(spark, lake):
     assert joined.first()["n"] == 2
 
 
+def test_all_bytes_of_parquet_count(spark, tmp_path):
+    path = tmp_path / "hashes"
+    spark.range(20_000, numPartitions=1).select(F.sha2(F.col("id").cast("string"), 512).alias("value")).write.parquet(str(path))
+    size = sum(f.stat().st_size for f in path.glob("*.parquet"))
+    spark.sparkContext.addJobTag("parquet")
+    try:
+        with counted_reads(spark):
+            spark.read.parquet(str(path)).agg(F.max("value")).collect()
+    finally:
+        spark.sparkContext.removeJobTag("parquet")
+    assert 0.9 * size < ReadLimit(spark, "parquet", 1).read() < 1.2 * size
+    assert spark.conf.get(VECTORED_READS, None) is None
+
+
 def test_jobs_are_stopped_when_they_have_read_too_much(spark, lake, tmp_path):
     path = str(tmp_path / "texts")
     spark.range(4000, numPartitions=40).select(F.sha2(F.col("id").cast("string"), 512).alias("value")).write.text(path)

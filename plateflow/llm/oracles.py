@@ -18,7 +18,7 @@ _LOWEST = math.ceil(math.log(1e-6) / math.log(float(_GAMMA)))
 
 
 def _ratio(name: str) -> str:
-    top, below, _ = quality_rules.RATIOS[name]
+    top, below = quality_rules.RATIOS[name]
     return f"{top}::DOUBLE / greatest({below}, 1)"
 
 
@@ -28,10 +28,10 @@ def _quality() -> str:
     rows = " UNION ALL ".join(
         f"SELECT lang, source, '{name}' AS ratio,"
         f" ceil(ln(greatest({_ratio(name)}, 1e-6)) / {_LOG_GAMMA})::INT AS bucket"
-        f" FROM counts WHERE NOT {base_failed}"
+        " FROM different"
         for name in names
     )
-    value = f"CASE WHEN bucket <= {_LOWEST} THEN 0.0 ELSE pow({_GAMMA}, bucket) * {2 / (1 + float(_GAMMA))!r} END"
+    value = f"CASE WHEN bucket <= {_LOWEST} THEN 0.0 ELSE pow({_GAMMA}, bucket) END"
 
     def level(alias: str, keys: str) -> str:
         return f"""
@@ -45,11 +45,28 @@ def _quality() -> str:
     ) GROUP BY {keys}{", " if keys else ""}ratio
 )"""
 
-    floors = " ".join(f"WHEN '{name}' THEN {least}" for name, (_, _, least) in quality_rules.RATIOS.items())
-    pick = "CASE WHEN o.docs >= {n} THEN o.{c} WHEN l.docs >= {n} THEN l.{c} ELSE a.{c} END"
-    low, high = (pick.format(n=quality_rules.MIN_DOCS, c=c) for c in ("low", "high"))
-    limits = ", ".join(f"max(CASE WHEN ratio = '{name}' THEN edge END) AS max_{name}" for name in names)
-    within = " AND ".join(f"{_ratio(name)} <= coalesce(max_{name}, 'inf'::DOUBLE)" for name in names)
+    def enough(level: str) -> str:
+        least = quality_rules.LEAST_SPREAD
+        return f"({level}.docs >= {quality_rules.MIN_DOCS} AND {level}.high - {level}.low >= {least} * {level}.high)"
+
+    edge = f"""CASE WHEN {enough("o")} THEN o.high + {quality_rules.FENCE} * (o.high - o.low)
+            WHEN {enough("l")} THEN l.high + {quality_rules.FENCE} * (l.high - l.low)
+            ELSE a.high + {quality_rules.FENCE} * greatest(a.high - a.low, {quality_rules.CORPUS_SPREAD} * a.high) END"""
+    origin = f"CASE WHEN {enough('o')} THEN 'source' WHEN {enough('l')} THEN 'lang' ELSE 'corpus' END"
+    picks = {"max": "edge", "from": "origin"}
+    limits = ", ".join(
+        f"max(CASE WHEN ratio = '{name}' THEN {column} END) AS {kind}_{name}"
+        for kind, column in picks.items()
+        for name in names
+    )
+
+    def allowed(name: str) -> str:
+        top, below = quality_rules.RATIOS[name]
+        units, share = quality_rules.TOLERANCE[name]
+        limit = f"coalesce(max_{name}, 'inf'::DOUBLE) + {share}::DOUBLE"
+        return f"{top} <= ({limit}) * greatest({below}, 1) + {units}"
+
+    within = " AND ".join(map(allowed, names))
     return f"""
 WITH split AS (
     SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
@@ -74,25 +91,28 @@ repeated AS (
     GROUP BY doc_id
 ),
 counts AS (
-    SELECT doc_id, lang, source, len(words)::BIGINT AS n_words,
+    SELECT doc_id, lang, source, text, len(words)::BIGINT AS n_words,
         length(array_to_string(words, ''))::BIGINT AS word_chars,
         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
         len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
         coalesce(repeated.n, 0)::BIGINT AS n_repeat_words
     FROM worded LEFT JOIN repeated USING (doc_id)
 ),
+different AS (
+    SELECT DISTINCT lang, source, text, n_words, word_chars, n_symbols, n_lines, n_dup_lines
+    FROM counts WHERE NOT {base_failed}
+),
 buckets AS ({rows}),
 {level("own", "lang, source").strip()},
 {level("of_lang", "lang").strip()},
 {level("of_all", "").strip()},
 edges AS (
-    SELECT o.lang, o.source, o.ratio,
-        round(greatest({high} + {quality_rules.FENCE} * ({high} - {low}), CASE o.ratio {floors} END), 6) AS edge
+    SELECT o.lang, o.source, o.ratio, round({edge}, 6) AS edge, {origin} AS origin
     FROM own o JOIN of_lang l ON l.lang = o.lang AND l.ratio = o.ratio JOIN of_all a ON a.ratio = o.ratio
 ),
 limits AS (SELECT lang, source, {limits} FROM edges GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {base_failed} AS base_failed,
-    (NOT {base_failed} AND {within}) AS kept, {", ".join(f"max_{name}" for name in names)}
+    (NOT {base_failed} AND {within}) AS kept, {", ".join(f"{kind}_{name}" for kind in picks for name in names)}
 FROM counts LEFT JOIN limits USING (lang, source)
 """
 

@@ -1,12 +1,16 @@
 """Quality rules whose thresholds adapt to each language and source.
 
 The method: each document gets four ratios.  Every (language, source) group gets one quantile
-sketch per ratio: counts by logarithmic bucket, so a quantile is right within ``RELATIVE_ERROR`` and
-sketches merge by adding counts (Masson, Rim and Lee, "DDSketch", VLDB 2019).  A threshold is an
-outer fence, the upper quartile plus ``fence`` times the interquartile range, and never below a floor
-that keeps one odd character in a clean source from being an outlier.  Groups with fewer than
-``min_docs`` documents use the merged sketch of their language, small languages that of the corpus.
-Documents are then joined with the thresholds of their group.
+sketch per ratio: counts by logarithmic bucket, so a quantile is right within the width of a bucket and
+sketches merge by adding counts (Masson, Rim and Lee, "DDSketch", VLDB 2019).  A threshold is an outer
+fence, the upper quartile plus ``fence`` times the interquartile range; there is no fixed cutoff.  A
+group with fewer than ``min_docs`` documents, or with a spread below ``LEAST_SPREAD`` of its quartile,
+says too little: it takes the fence of its language's merged sketch, and failing that of the corpus.
+Copies of a text count once, by a hash of it, so that they don't narrow a sketch.
+
+Documents are then joined with the thresholds of their group.  A document is rejected if a numerator
+exceeds its threshold by more than ``TOLERANCE``, a few units and a small share of the denominator: one
+odd character or one long link in a clean source is no outlier.
 
 Only DataFrame functions run here.  Texts are scanned once and never shuffled: the counts are written
 to the shared folder, and the sketches, pre-aggregated before their shuffle, have a bounded number of
@@ -14,7 +18,7 @@ buckets per group.  A hot source is thus a few partial sums, and its documents m
 a join that adaptive execution broadcasts or splits.
 
 Defined results: a null text has no words and fails the base rules.  Null and empty languages (or
-sources) are one group.  Repeated rows count as often as they occur.  An empty table gives an empty
+sources) are one group.  Repeated rows get one verdict each and count once in sketches.  An empty table gives an empty
 result.  Other columns are ignored by ``quality_verdicts`` and kept by ``keep_good``.
 """
 
@@ -34,13 +38,18 @@ WINDOW = 5
 
 RELATIVE_ERROR = 0.01
 FENCE = 3.0
-MIN_DOCS = 100
-# Ratio: (numerator, denominator, least threshold).
+MIN_DOCS = 50
+# A sketch needs this spread, as a share of its upper quartile; the corpus is given the second one at least.
+LEAST_SPREAD = 0.02
+CORPUS_SPREAD = 0.1
+# Ratio: (numerator, denominator).
 RATIOS = {
-    "symbols_per_word": ("n_symbols", "n_words", 0.3),
-    "word_length": ("word_chars", "n_words", 12.0),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.3),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "word_length": ("word_chars", "n_words"),
+    "dup_lines": ("n_dup_lines", "n_lines"),
 }
+# What a document may have beyond its threshold: units, and units per unit of the denominator.
+TOLERANCE = {"symbols_per_word": (3, 0.01), "word_length": (30, 0.0), "dup_lines": (2, 0.1)}
 _GAMMA = (1 + RELATIVE_ERROR) / (1 - RELATIVE_ERROR)
 
 
@@ -114,18 +123,20 @@ def _bucket(value: Column) -> Column:
 
 
 def ratio_sketches(counts: DataFrame) -> DataFrame:
-    """Bucket counts by language, source and ratio, for documents that pass the base rules."""
+    """Bucket counts by language, source and ratio, over different texts, by ``text_hash``, that pass the base rules."""
     ratios = F.array(
         *(
             F.struct(
                 F.lit(name).alias("ratio"),
                 _bucket(F.col(top) / F.greatest(F.col(below), F.lit(1))).alias("bucket"),
             )
-            for name, (top, below, _) in RATIOS.items()
+            for name, (top, below) in RATIOS.items()
         )
     )
     return (
         counts.filter(~_base_failed())
+        .select("lang", "source", "text_hash", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines")
+        .distinct()
         .select("lang", "source", F.inline(ratios))
         .groupBy("lang", "source", "ratio", "bucket")
         .agg(F.count("*").alias("n"))
@@ -143,9 +154,8 @@ def _quartiles(sketches: DataFrame, *group: str) -> DataFrame:
             "docs": F.sum("n").over(Window.partitionBy(*keys)),
         }
     )
-    value = F.when(F.col("bucket") <= _lowest(), 0.0).otherwise(
-        F.pow(F.lit(_GAMMA), F.col("bucket")) * (2 / (1 + _GAMMA))
-    )
+    # The upper end of the bucket, so that no document of a uniform group exceeds its quartile.
+    value = F.when(F.col("bucket") <= _lowest(), 0.0).otherwise(F.pow(F.lit(_GAMMA), F.col("bucket")))
 
     def quantile(share: float) -> Column:
         return F.min(F.when(F.col("upto") >= share * F.col("docs"), value))
@@ -162,7 +172,8 @@ def _lowest() -> int:
 def adaptive_thresholds(
     sketches: DataFrame, fence: float = FENCE, min_docs: int = MIN_DOCS
 ) -> DataFrame:
-    """One row per language and source with a threshold column ``max_<ratio>`` per ratio."""
+    """One row per language and source: a threshold ``max_<ratio>`` per ratio, and in ``from_<ratio>``
+    whether the sketch of the source, the language or the corpus gave it."""
     own = _quartiles(sketches, "lang", "source")
     of_lang = _quartiles(sketches, "lang").select(
         "lang", "ratio", *(F.col(c).alias(f"lang_{c}") for c in ("docs", "low", "high"))
@@ -170,18 +181,22 @@ def adaptive_thresholds(
     of_all = _quartiles(sketches).select("ratio", *(F.col(c).alias(f"all_{c}") for c in ("low", "high")))
     levels = own.join(of_lang, ["lang", "ratio"]).join(of_all, "ratio")
 
-    def level(name: str) -> Column:
-        return (
-            F.when(F.col("docs") >= min_docs, F.col(name))
-            .when(F.col("lang_docs") >= min_docs, F.col(f"lang_{name}"))
-            .otherwise(F.col(f"all_{name}"))
-        )
+    def spread(level: str) -> Column:
+        return F.col(f"{level}high") - F.col(f"{level}low")
 
-    floor = F.create_map(*(F.lit(x) for name, (_, _, least) in RATIOS.items() for x in (name, least)))
-    outer = level("high") + fence * (level("high") - level("low"))
-    limit = F.round(F.greatest(outer, F.element_at(floor, F.col("ratio"))), 6)
+    def says_enough(level: str) -> Column:
+        return (F.col(f"{level}docs") >= min_docs) & (spread(level) >= LEAST_SPREAD * F.col(f"{level}high"))
+
+    wide = F.greatest(spread("all_"), CORPUS_SPREAD * F.col("all_high"))
+    limit = (
+        F.when(says_enough(""), F.col("high") + fence * spread(""))
+        .when(says_enough("lang_"), F.col("lang_high") + fence * spread("lang_"))
+        .otherwise(F.col("all_high") + fence * wide)
+    )
+    origin = F.when(says_enough(""), "source").when(says_enough("lang_"), "lang").otherwise("corpus")
     return levels.groupBy("lang", "source").agg(
-        *(F.max(F.when(F.col("ratio") == name, limit)).alias(f"max_{name}") for name in RATIOS)
+        *(F.max(F.when(F.col("ratio") == name, F.round(limit, 6))).alias(f"max_{name}") for name in RATIOS),
+        *(F.max(F.when(F.col("ratio") == name, origin)).alias(f"from_{name}") for name in RATIOS),
     )
 
 
@@ -190,23 +205,26 @@ def quality_verdicts(
 ) -> DataFrame:
     """Counts, thresholds and verdict of each document, with the columns ``keep``.
 
-    ``kept`` is false where the base rules fail, else true unless a ratio is above its threshold.
+    ``kept`` is false where the base rules fail, else true unless a ratio is above its threshold by more
+    than the tolerance.
     """
     own = [f"kept_{k}" for k in range(len(keep))]
     labels = docs.select(
         *(F.col(name).alias(alias) for name, alias in zip(keep, own)),
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")),
+        F.xxhash64("text").alias("text_hash"),
         "text",
     )
-    counts = materialise(base_counts(labels, *own, "lang", "source"), "quality-counts")
+    counts = materialise(base_counts(labels, *own, "lang", "source", "text_hash"), "quality-counts")
     # Read back from files, so that Spark knows the size and broadcasts only a small table.
     limits = materialise(
         adaptive_thresholds(ratio_sketches(counts), fence, min_docs), "quality-limits"
     )
     within = F.lit(True)
-    for name, (top, below, _) in RATIOS.items():
-        ratio = F.col(top) / F.greatest(F.col(below), F.lit(1))
-        within &= ratio <= F.coalesce(F.col(f"max_{name}"), F.lit(float("inf")))
+    for name, (top, below) in RATIOS.items():
+        units, share = TOLERANCE[name]
+        limit = F.coalesce(F.col(f"max_{name}"), F.lit(float("inf")))
+        within &= F.col(top) <= (limit + share) * F.greatest(F.col(below), F.lit(1)) + units
     judged = counts.join(limits, ["lang", "source"], "left")
     return judged.select(
         *(F.col(alias).alias(name) for name, alias in zip(keep, own)),
@@ -218,6 +236,7 @@ def quality_verdicts(
         _base_failed().alias("base_failed"),
         (~_base_failed() & within).alias("kept"),
         *(f"max_{name}" for name in RATIOS),
+        *(f"from_{name}" for name in RATIOS),
     )
 
 

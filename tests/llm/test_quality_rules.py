@@ -61,6 +61,53 @@ def test_small_groups_use_their_language(spark):
     assert 500 not in {row.doc_id for row in keep_good(docs).collect()}
 
 
+def sized(seed, length, words=40):
+    """Words of a length; up to 36 of them, by document, have one letter more."""
+    sizes = (length + (k < seed % 10 * 4) for k in range(words))
+    return " ".join(f"{seed * 7919 + k * 104729:x}".rjust(size, "q")[-size:] for k, size in enumerate(sizes))
+
+
+def verdicts_of(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return {r.doc_id: r for r in quality_verdicts(docs, "doc_id").collect()}
+
+
+def test_each_source_has_its_own_word_length(spark):
+    """Words of twelve letters are usual in one source and odd in another; no cutoff holds for both."""
+    rows = [(k, sized(k, 6), "en", "web") for k in range(60)]
+    rows += [(100 + k, sized(k, 14), "en", "chemistry") for k in range(60)]
+    rows += [(500, sized(1, 14), "en", "web"), (501, sized(2, 6), "en", "chemistry")]
+    found = verdicts_of(spark, rows)
+    assert {k for k, r in found.items() if not r.kept} == {500}
+    assert found[0].max_word_length < 12 < found[100].max_word_length
+    assert found[0].from_word_length == found[100].from_word_length == "source"
+
+
+def test_copies_dont_narrow_a_fence(spark):
+    rows = [(k, sized(k, 6), "en", "web") for k in range(60)]
+    plain = verdicts_of(spark, rows)
+    copied = verdicts_of(spark, rows + [(1000 + k, sized(7, 6), "en", "web") for k in range(400)])
+    assert all(r.kept for r in copied.values())
+    assert copied[0].max_word_length == plain[0].max_word_length
+
+
+def test_a_uniform_source_takes_the_fence_of_its_language(spark):
+    rows = [(k, sized(k, 6), "en", "web") for k in range(60)]
+    rows += [(100 + k, " ".join(f"{k:02d}{n:03d}" for n in range(20 + k)), "en", "tables") for k in range(60)]
+    rows += [(500, sized(3, 7), "en", "tables")]
+    found = verdicts_of(spark, rows)
+    assert found[100].from_word_length == "lang" and all(r.kept for r in found.values())
+
+
+def test_a_few_odd_units_are_no_outlier(spark):
+    rows = [(k, sized(k, 6), "en", "web") for k in range(60)]
+    rows += [(200, "5 % of <all> " + sized(1, 6), "en", "web"), (201, "5 % of <all> ## " + sized(1, 6), "en", "web")]
+    rows += [(202, sized(1, 6, 1000) + " #" * 13, "en", "web"), (203, sized(1, 6, 1000) + " #" * 14, "en", "web")]
+    found = verdicts_of(spark, rows)
+    assert found[0].max_symbols_per_word == 0
+    assert {k for k, r in found.items() if not r.kept} == {201, 203}
+
+
 def test_odd_documents(odd_docs, clashing_docs):
     verdicts = {(r.doc_id, r.n_words): r.kept for r in quality_verdicts(odd_docs, "doc_id").collect()}
     assert verdicts[(3, 0)] is False and verdicts[(4, 0)] is False and verdicts[(5, 30_000)] is True

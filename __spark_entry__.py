@@ -75,6 +75,12 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_lines(base_events(configure_session(spark), sf_dir))
 
 
+def _written_lines(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The payload texts from files, for queries that deliver them several times."""
+    _lines(spark, sf_dir).select("value").write.text(path)
+    return spark.read.text(path)
+
+
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated payloads that keep the arrival time of the test data."""
     return validate_events(enrich(_lines(spark, sf_dir), F.col("ingested_at")))
@@ -317,9 +323,9 @@ def _stream_alarm_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payloads twice, in several micro-batches, with repeated ids dropped."""
     root = scratch_folder(spark, "dedup")
+    lines = _written_lines(spark, sf_dir, f"{root}/lines")
     for copy in range(2):
-        lines = _lines(spark, sf_dir).select("value").repartition(3)
-        lines.write.mode("append").text(f"{root}/payloads")
+        lines.repartition(3).write.mode("append").text(f"{root}/payloads")
     target = IngestTarget(f"{root}/events", f"{root}/rejects", f"{root}/checkpoint")
     stream = read_payloads(spark, f"{root}/payloads", streaming=True, max_bytes_per_trigger=1 << 20)
     start_ingest(stream, target, available_now=True, dedup_hours=2).awaitTermination()
@@ -330,7 +336,7 @@ def _stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payloads three times, in three batches with a restart before each, repeats known from the state."""
     root = scratch_folder(spark, "dedup-state")
     target = IngestTarget(f"{root}/events", f"{root}/rejects", f"{root}/checkpoint")
-    lines = _lines(spark, sf_dir).select("value")
+    lines = _written_lines(spark, sf_dir, f"{root}/lines")
     for _ in range(3):
         lines.write.mode("append").text(f"{root}/payloads")
         stream = read_payloads(spark, f"{root}/payloads", streaming=True)

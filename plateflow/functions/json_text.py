@@ -38,6 +38,13 @@ def object_fields(value: Column, names: tuple[str, ...]) -> Column:
     return F.try_variant_get(value, "$", f"struct<{members}>")
 
 
+def object_texts(value: Column, names: tuple[str, ...]) -> Column:
+    """Struct of the named members' texts, as of :func:`variant_text`, in one pass; NULL when ``value``
+    is no object.  Neither an absent member nor a JSON null has a text."""
+    members = ",".join(f"`{name}`:string" for name in names)
+    return F.try_variant_get(value, "$", f"struct<{members}>")
+
+
 def is_object(value: Column) -> Column:
     return object_fields(value, ("event_id",)).isNotNull()
 

@@ -13,9 +13,8 @@ from plateflow.functions.json_text import (
     is_infinite,
     json_type_name,
     number_of,
-    object_fields,
+    object_texts,
     scalar_label,
-    variant_text,
 )
 from plateflow.functions.once import with_columns_once
 from plateflow.operators.envelope import NOT_AN_OBJECT, NOT_JSON, unwrap_envelope
@@ -39,7 +38,8 @@ class Check(NamedTuple):
 
 
 def _member(field: str) -> Column:
-    return F.col("_members")[field]
+    """The VARIANT of a field.  Looked up in the payload, so only the rows that need it pay for it."""
+    return F.try_variant_get(F.col("payload"), f"$.{field}", "variant")
 
 
 def _text(field: str) -> Column:
@@ -66,14 +66,14 @@ def payload_checks() -> list[Check]:
 def presence_checks() -> list[Check]:
     """Each required field in order: absent, then null or blank.
 
-    A JSON null has no text; an absent field has no member.
+    A JSON null has no text; an absent field has neither text nor member.
     """
     checks = []
     for name in REQUIRED_FIELDS:
         missing = f"Missing required field: '{name}'"
         empty = f"Required field '{name}' must not be null or empty"
         text = _text(name)
-        checks.append(Check(_member(name).isNull(), "missing", name, missing))
+        checks.append(Check(text.isNull() & _member(name).isNull(), "missing", name, missing))
         checks.append(Check(text.isNull() | is_blank(text), "empty", name, empty))
     return checks
 
@@ -117,12 +117,11 @@ def validate_events(df: DataFrame, text: str = "value") -> DataFrame:
     keeps its generated code small enough to be compiled to machine code.
     """
     rows = unwrap_envelope(df, text)
-    rows = rows.withColumn("_members", object_fields(F.col("payload"), REQUIRED_FIELDS))
+    rows = rows.withColumn("_texts", object_texts(F.col("payload"), REQUIRED_FIELDS))
     texts = {
-        "_price_text" if name == "price" else name: variant_text(_member(name))
-        for name in REQUIRED_FIELDS
+        "_price_text" if name == "price" else name: F.col("_texts")[name] for name in REQUIRED_FIELDS
     }
-    rows = with_columns_once(rows, {"_members": F.col("_members"), **texts})
+    rows = with_columns_once(rows, texts).drop("_texts")
     rows = rows.withColumn("price", number_of(_member("price"), F.col("_price_text")))
 
     checks = payload_checks() + presence_checks() + domain_checks() + price_checks()
@@ -149,7 +148,7 @@ def validate_events(df: DataFrame, text: str = "value") -> DataFrame:
             "error": F.coalesce(fixed, composed),
         }
     )
-    return judged.drop("_members", "_price_text", "_failure", "parse_error")
+    return judged.drop("_price_text", "_failure", "parse_error")
 
 
 def accepted_events(validated: DataFrame) -> DataFrame:

@@ -203,6 +203,23 @@ def test_closed_windows_are_appended_once(spark, tmp_path):
     assert found == [("00:00", 2), ("00:05", 1), ("00:30", 1)]
 
 
+@pytest.mark.parametrize("query", ["stream_dedup", "stream_dedup_state"])
+def test_repeated_deliveries_derive_the_payloads_once(spark, sf_dir, monkeypatch, query):
+    import __spark_entry__
+
+    written, plain = [], __spark_entry__._lines
+    keep = __spark_entry__._written_lines
+    monkeypatch.setattr(
+        __spark_entry__, "_written_lines", lambda *args: written.append(args[2]) or keep(*args)
+    )
+    landed = rows_of(__spark_entry__.queries()[query](spark, sf_dir))
+    accepted = validate_events(plain(spark, sf_dir)).filter("status = 200").select("event_id", "price")
+    key = lambda row: (row["event_id"], row["price"])
+    assert sorted(map(key, landed)) == sorted(map(key, rows_of(accepted)))
+    (path,) = written
+    assert path.endswith("/lines")
+
+
 def test_mean_duration_per_period(spark):
     listener = DurationListener()
     listener.record("q", "2024-03-01T00:00:01.000Z", 100)

@@ -12,6 +12,9 @@ as pages, cut at the boundaries of prefix ranges, and united range by range, a m
 weights and builds anew.  The counts of parts come from composing sorted parts with their range's
 transducers, which walks shared beginnings once.
 
+Texts are split once: a first scan writes them as numbers of words, in chunks of about a MB of a language
+with their words and the words' hashes.  All later scans read these.
+
 Which n-grams enter.  A phrase is frequent only if all its parts are.  So before the transducers one
 scan for each length adds up n-grams by hash in ``BUCKETS`` counters; an n-gram enters the next scan only
 if its bucket and those of both n-grams one word shorter reached ``min_count``.  A bucket holds its
@@ -32,6 +35,7 @@ An empty table gives an empty result.  Other columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
 from heapq import merge
@@ -56,9 +60,11 @@ BUCKETS = 1 << BUCKET_BITS
 #: Buckets that travel together, so that their sums spread over many tasks.
 BLOCK = 1 << 12
 #: Text and different words of a shard, text that is split at a time.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 SHARD_WORDS = 1 << 20
 SPLIT_BYTES = 1 << 20
+#: Readers hold a row group of chunks, which have up to some MB each.
+ROW_GROUPS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "4"}
 PAGE = 1 << 11
 RANGE = 1 << 17
 MAX_RANGES = 10_000
@@ -189,65 +195,64 @@ def union(transducers: list[CountTransducer], min_count: int = 1) -> Iterator[tu
             yield words, total
 
 
-class _Shard:
-    """The words of texts of one language, numbered; -1 stands between pieces."""
+class _Numbers(dict):
+    """Numbers of words in the order in which they come; 0 is what stands between pieces."""
 
     def __init__(self) -> None:
-        self.numbers = _Numbers()
-        self.numbers[b"."] = -1
-        self.parts: list[np.ndarray] = []
-        self.waiting: list[bytes] = []
-        self.bytes = self.waiting_bytes = 0
+        self[b"."] = 0
 
-    def add(self, text: bytes) -> None:
-        self.waiting.append(text)
-        self.bytes += len(text)
-        self.waiting_bytes += len(text)
-        if self.waiting_bytes >= SPLIT_BYTES:
-            self.split()
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
-    def split(self) -> None:
-        words = b".".join([*self.waiting, b""]).translate(_TEXT_BYTES).replace(b".", b" . ").split()
-        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
-        self.waiting, self.waiting_bytes = [], 0
 
-    def full(self) -> bool:
-        return self.bytes >= SHARD_BYTES or len(self.numbers) > SHARD_WORDS
+def _numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Different words of some texts, and the texts as their numbers from 1; 0 ends each text."""
+    numbers = _Numbers()
+    split = b".".join([*texts, b""]).translate(_TEXT_BYTES).replace(b".", b" . ").split()
+    found = np.fromiter(map(numbers.__getitem__, split), np.int32, len(split))
+    del numbers[b"."]
+    return list(numbers), found
 
-    def sorted_words(self) -> tuple[list[bytes], np.ndarray]:
-        """Different words in byte order, and the texts as their ranks."""
-        self.split()
-        del self.numbers[b"."]
-        words = sorted(self.numbers)
-        ranks = np.full(len(words) + 1, -1, np.int64)
-        for rank, word in enumerate(words):
-            ranks[self.numbers[word]] = rank
-        return words, ranks[np.concatenate(self.parts)]
 
+_CHUNKS = "lang string, bytes bigint, words binary, hashes binary, numbers binary"
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self) - 1
-        return number
 
+def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of a language as numbers, some at a time, with their words and the words' hashes."""
+    waiting: dict[str, list[bytes]] = {}
+    sizes: Counter[str] = Counter()
+
+    def out(language: str) -> pa.RecordBatch:
+        words, numbers = _numbered(waiting.pop(language))
+        hashes = _word_hashes(language, words).astype("<u8").tobytes()
+        numbers = numbers.astype(_number_kind(len(words))).tobytes()
+        row = (language, sizes.pop(language), b" ".join(words), hashes, numbers)
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        names = [part.split()[0] for part in _CHUNKS.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """Language, words and ranks of each shard."""
-    shards: dict[str, _Shard] = {}
-    held = 0
     for batch in batches:
-        for language, text in zip(batch.column("lang"), batch.column("text")):
-            shard = shards.setdefault(language.as_py(), _Shard())
-            raw = text.as_buffer()
+        for lang, text in zip(batch.column("lang"), batch.column("text")):
+            language, raw = lang.as_py(), text.as_buffer()
             raw = raw.to_pybytes() if raw is not None else b""
-            shard.add(raw)
-            held += len(raw)
-            if shard.full() or held >= 2 * SHARD_BYTES:
-                for name in list(shards) if held >= 2 * SHARD_BYTES else [language.as_py()]:
-                    held -= shards[name].bytes
-                    yield name, *shards.pop(name).sorted_words()
-    for name, shard in shards.items():
-        yield name, *shard.sorted_words()
+            waiting.setdefault(language, []).append(raw)
+            sizes[language] += len(raw) + 1
+            if sizes[language] >= SPLIT_BYTES:
+                yield out(language)
+            elif sizes.total() >= SHARD_BYTES:
+                yield from map(out, list(waiting))
+    yield from map(out, list(waiting))
+
+
+def _number_kind(words: int) -> np.dtype:
+    return np.min_scalar_type(words).newbyteorder("<")
+
+
+def _chunk(hashes: bytes, numbers: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes by number, with one for 0, and the numbers of a chunk."""
+    own = np.frombuffer(hashes, "<u8")
+    return np.append(np.uint64(0), own), np.frombuffer(numbers, _number_kind(len(own)))
 
 
 def _word_hashes(language: str, words: list[bytes]) -> np.ndarray:
@@ -260,27 +265,27 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
 
 
 def _surviving(
-    language: str, words: list[bytes], ranks: np.ndarray, bits: list[np.ndarray]
+    hashes: np.ndarray, numbers: np.ndarray, bits: list[np.ndarray]
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each length up to one more than there are bits: which places start an n-gram that may be
-    frequent as far as its parts tell, and the buckets of all places."""
-    own = _word_hashes(language, words)
-    if not len(own):
-        return
-    single = own[ranks]
-    alive, hashes = ranks >= 0, single
+    """For each length up to one more than there are bits: the places that start an n-gram which may be
+    frequent as far as its parts tell, and their buckets."""
+    places = np.flatnonzero(numbers)
+    own = hashes[numbers[places]]
     for length in range(1, len(bits) + 2):
         if length > 1:
-            alive = alive[:-1] & alive[1:]
-            hashes = hashes[:-1] * _MIX + single[length - 1 :]
-        buckets = _buckets(hashes)
-        yield alive, buckets
+            # Both n-grams one word shorter are alive.
+            both = np.flatnonzero(np.diff(places) == 1)
+            places = places[both]
+            own = own[both] * _MIX + hashes[numbers[places + length - 1]]
+        buckets = _buckets(own)
+        yield places, buckets
         if length <= len(bits):
-            reached = np.zeros(len(alive), bool)
-            places = np.flatnonzero(alive)
-            at = buckets[places]
-            reached[places] = (bits[length - 1][at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            alive = reached
+            reached = np.flatnonzero(_reached(bits[length - 1], buckets))
+            places, own = places[reached], own[reached]
+
+
+def _reached(bits: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return (bits[buckets >> 3] >> (buckets & 7).astype(np.uint8)) & 1
 
 
 def _bucket_batches(
@@ -289,12 +294,11 @@ def _bucket_batches(
     """Counts by bucket, not above ``min_count``, in blocks."""
     known = [np.frombuffer(own, np.uint8) for own in bits.value]
     totals = np.zeros(BUCKETS, np.min_scalar_type(min_count))
-    for language, words, ranks in _shards(batches):
-        *_, last = [(None, None), *_surviving(language, words, ranks, known)]
-        if last[0] is None or len(last[0]) == 0:
-            continue
-        found, counts = np.unique(last[1][last[0]], return_counts=True)
-        totals[found] = np.minimum(totals[found] + counts, min_count)
+    for batch in batches:
+        for chunk in zip(batch.column("hashes").to_pylist(), batch.column("numbers").to_pylist()):
+            *_, (_, buckets) = _surviving(*_chunk(*chunk), known)
+            found, counts = np.unique(buckets, return_counts=True)
+            totals[found] = np.minimum(totals[found] + counts, min_count)
     blocks = totals.reshape(-1, BLOCK)
     used = np.flatnonzero(blocks.any(axis=1))
     for start in range(0, len(used), 256):
@@ -327,15 +331,15 @@ def _reached_batches(batches: Iterator[pa.RecordBatch], min_count: int) -> Itera
         yield out()
 
 
-def bucket_bits(texts: DataFrame, longest: int, min_count: int) -> list[bytes]:
+def bucket_bits(chunks: DataFrame, longest: int, min_count: int) -> list[bytes]:
     """For each length the buckets that reached ``min_count``, one bit each.
 
     A bit array has ``BUCKETS`` bits on the driver, whatever the corpus.
     """
     found: list[bytes] = []
     for _ in range(longest):
-        sent = texts.sparkSession.sparkContext.broadcast(list(found))
-        counted = texts.mapInArrow(
+        sent = chunks.sparkSession.sparkContext.broadcast(list(found))
+        counted = chunks.select("hashes", "numbers").mapInArrow(
             partial(_bucket_batches, bits=sent, min_count=min_count), "block int, counts binary"
         )
         reached = (
@@ -353,18 +357,19 @@ def bucket_bits(texts: DataFrame, longest: int, min_count: int) -> list[bytes]:
 def _shard_entries(
     words: list[bytes], ranks: np.ndarray, alive: list[np.ndarray]
 ) -> Iterator[tuple[Words, int]]:
-    """N-grams and counts of a shard in ascending order; a prefix comes before what it begins."""
+    """N-grams and counts of a shard in ascending order; a prefix comes before what it begins.
+
+    ``alive`` has the places where those of each length start."""
     size = max(len(words), 1)
     layers = []
     keys, before = ranks, np.zeros(0, np.int64)
-    for length, own in enumerate(alive, 1):
-        places = np.flatnonzero(own)
+    for length, places in enumerate(alive, 1):
         pairs = ranks[places] if length == 1 else keys[places] * size + ranks[places + length - 1]
         found, inverse, counts = np.unique(pairs, return_inverse=True, return_counts=True)
         parents, labels = (np.zeros_like(found), found) if length == 1 else np.divmod(found, size)
         starts = np.searchsorted(parents, np.arange(len(before) + 1) if length > 1 else np.arange(2))
         layers.append((labels.tolist(), counts.tolist(), starts.tolist()))
-        keys = np.full(len(own), -1, np.int64)
+        keys = np.full(len(ranks), -1, np.int64)
         keys[places] = inverse
         before = found
     stack = [(0, 0, layers[0][2][1], ())] if layers else []
@@ -409,19 +414,67 @@ def _page_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, _PAGE_NAMES)
 
 
+class _Shard:
+    """Chunks of one language with their surviving n-grams."""
+
+    def __init__(self) -> None:
+        self.numbers = _Numbers()
+        self.parts: list[np.ndarray] = []
+        self.alive: list[list[np.ndarray]] = []
+        self.bytes = self.places = 0
+
+    def add(self, size: int, words: bytes, hashes: bytes, numbers: bytes, bits: list[np.ndarray]) -> None:
+        by_number, own = _chunk(hashes, numbers)
+        found = [
+            places[np.flatnonzero(_reached(bits[length], buckets))] + self.places
+            for length, (places, buckets) in enumerate(_surviving(by_number, own, bits[:-1]))
+        ]
+        names = words.split(b" ") if words else []
+        self.parts.append(np.array([0, *map(self.numbers.__getitem__, names)], np.int32)[own])
+        self.alive.append(found)
+        self.places += len(own)
+        self.bytes += size
+
+    def full(self) -> bool:
+        return self.bytes >= SHARD_BYTES or len(self.numbers) > SHARD_WORDS
+
+    def sorted_words(self) -> tuple[list[bytes], np.ndarray]:
+        """Different words in byte order, and the texts as their ranks; -1 stands between pieces."""
+        del self.numbers[b"."]
+        words = sorted(self.numbers)
+        ranks = np.full(len(words) + 1, -1, np.int64)
+        for rank, word in enumerate(words):
+            ranks[self.numbers[word]] = rank
+        return words, ranks[np.concatenate(self.parts)]
+
+
 def _shard_batches(batches: Iterator[pa.RecordBatch], bits: Broadcast) -> Iterator[pa.RecordBatch]:
     """The pages of each shard, after a row with its number of words."""
     known = [np.frombuffer(own, np.uint8) for own in bits.value]
-    for language, words, ranks in _shards(batches):
+    shards: dict[str, _Shard] = {}
+    held = 0
+
+    def out(language: str) -> Iterator[pa.RecordBatch]:
+        shard = shards.pop(language)
+        words, ranks = shard.sorted_words()
         yield _page_rows([(None, language, None, None, 0, int((ranks >= 0).sum()), None)])
-        alive = []
-        for length, (own, buckets) in enumerate(_surviving(language, words, ranks, known[:-1]), 1):
-            reached = (known[length - 1][buckets >> 3] >> (buckets & 7).astype(np.uint8)) & 1
-            alive.append(own & (reached > 0))
-        for page in _pages(_shard_entries(words, ranks, alive)):
+        for page in _pages(_shard_entries(words, ranks, [np.concatenate(own) for own in zip(*shard.alive)])):
             first, last, entries, data = page
             yield _page_rows([(None, language, first, last, entries, 0, data)])
 
+    for batch in batches:
+        names = ("lang", "bytes", "words", "hashes", "numbers")
+        for language, size, *chunk in zip(*(batch.column(n).to_pylist() for n in names)):
+            shard = shards.setdefault(language, _Shard())
+            shard.add(size, *chunk, known)
+            held += size
+            if shard.full() or held >= 2 * SHARD_BYTES:
+                for name in list(shards) if held >= 2 * SHARD_BYTES else [language]:
+                    held -= shards[name].bytes
+                    yield from out(name)
+    for language in list(shards):
+        yield from out(language)
+
 
 Boundary = tuple[str, Words]
 
@@ -572,8 +625,9 @@ def count_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_
         F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
-    bits = context.broadcast(bucket_bits(texts, longest, min_count))
-    shards = materialise(texts.mapInArrow(partial(_shard_batches, bits=bits), _PAGES), "phrase-shards")
+    chunks = materialise(texts.mapInArrow(_chunk_batches, _CHUNKS), "phrase-texts", **ROW_GROUPS)
+    bits = context.broadcast(bucket_bits(chunks, longest, min_count))
+    shards = materialise(chunks.mapInArrow(partial(_shard_batches, bits=bits), _PAGES), "phrase-shards")
     words = shards.groupBy("lang").agg(F.sum("words").alias("n"))
     pages = shards.filter("entries > 0")
     boundaries = _boundaries(pages)

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,6 +84,38 @@ def test_colliding_buckets_change_nothing(spark, monkeypatch):
     assert as_results(c.collocations(docs, 5, 4)) == plain(rows, 5, 4)
 
 
+def test_texts_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = some_rows(4, 120)
+    docs = spark.createDataFrame(rows, "text string, lang string").mapInArrow(counted, "text string, lang string")
+    assert as_results(c.collocations(docs, 5, 4)) == plain(rows, 5, 4)
+    assert read.value == len(rows)
+
+
+def test_chunks_of_several_languages_hold_whole_texts(monkeypatch):
+    monkeypatch.setattr(c, "SPLIT_BYTES", 40)
+    rows = [(text, lang or "und") for text, lang in some_rows(5, 60)]
+    batch = pa.RecordBatch.from_pylist([{"text": text, "lang": lang} for text, lang in rows])
+    found = defaultdict(list)
+    for own in c._chunk_batches(iter([batch])):
+        (chunk,) = own.to_pylist()
+        words = [b".", *(chunk["words"].split(b" ") if chunk["words"] else [])]
+        hashes, numbers = c._chunk(chunk["hashes"], chunk["numbers"])
+        assert hashes[1:].tolist() == c._word_hashes(chunk["lang"], words[1:]).tolist()
+        found[chunk["lang"]] += [words[number] for number in numbers]
+    expected = defaultdict(list)
+    for text, lang in rows:
+        split = re.sub(r"[.,;:!?\x0A-\x0D]", " . ", (text or "").translate(LOWER) + ".")
+        expected[lang] += [word.encode() for word in re.findall(r"[^\x20\x09]+", split)]
+    assert found == expected
+
+
 def test_a_phrase_in_most_texts_and_a_very_long_text(spark):
     rows = [("As we all know, this holds.", "en")] * 400 + [("As we all know. " * 20_000, "en")]
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(8)

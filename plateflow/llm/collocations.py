@@ -63,8 +63,14 @@ BLOCK = 1 << 12
 SHARD_BYTES = 16 << 20
 SHARD_WORDS = 1 << 20
 SPLIT_BYTES = 1 << 20
+#: Text that shares one set of counters, which a scan sends once for each of its tasks.
+COUNTED_BYTES = 1 << 30
 #: Readers hold a row group of chunks, which have up to some MB each.
-ROW_GROUPS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "4"}
+ROW_GROUPS = {
+    "compression": "zstd",
+    "parquet.block.size": str(16 << 20),
+    "parquet.page.size.row.check.min": "4",
+}
 PAGE = 1 << 11
 RANGE = 1 << 17
 MAX_RANGES = 10_000
@@ -161,32 +167,50 @@ class CountTransducer:
     def to_bytes(self) -> bytes:
         words = sorted({word for arcs in self.states for word, _, _ in arcs})
         number = {word: k for k, word in enumerate(words)}
-        sizes = np.array([len(arcs) for arcs in self.states], "<u4")
         arcs = [arc for own in self.states for arc in own]
-        labels = np.array([number[word] for word, _, _ in arcs], "<u4")
-        counts = np.array([count for _, count, _ in arcs], "<u8")
-        targets = np.array([target for _, _, target in arcs], "<u4")
-        head = np.array([len(sizes), len(arcs)], "<u4")
-        return b"".join(part.tobytes() for part in (head, sizes, labels, targets, counts)) + b" ".join(words)
+        columns = (
+            [len(own) for own in self.states],
+            [number[word] for word, _, _ in arcs],
+            [at - target for at, own in enumerate(self.states) for _, _, target in own],
+            [count for _, count, _ in arcs],
+        )
+        parts = [_narrow(values) for values in columns]
+        body = b"".join(part.tobytes() for part in parts) + b" ".join(words)
+        head = np.array([len(self.states), len(arcs), len(body)], "<u4").tobytes()
+        return head + bytes(part.itemsize for part in parts) + _packed(body)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> CountTransducer:
-        n_states, n_arcs = np.frombuffer(data, "<u4", 2).tolist()
-        sizes = np.frombuffer(data, "<u4", n_states, 8).tolist()
-        at = 8 + 4 * n_states
-        labels = np.frombuffer(data, "<u4", n_arcs, at).tolist()
-        targets = np.frombuffer(data, "<u4", n_arcs, at + 4 * n_arcs).tolist()
-        counts = np.frombuffer(data, "<u8", n_arcs, at + 8 * n_arcs).tolist()
-        words = bytes(data[at + 16 * n_arcs :]).split(b" ")
+        n_states, n_arcs, size = np.frombuffer(data, "<u4", 3).tolist()
+        body = _unpacked(data[16:], size)
+        columns, at = [], 0
+        for width, length in zip(data[12:16], (n_states, n_arcs, n_arcs, n_arcs)):
+            columns.append(np.frombuffer(body, f"<u{width}", length, at).tolist())
+            at += width * length
+        sizes, labels, back, counts = columns
+        words = body[at:].split(b" ")
         states, first = [], 0
-        for size in sizes:
+        for number, size in enumerate(sizes):
             last = first + size
-            own = zip(labels[first:last], counts[first:last], targets[first:last])
-            states.append(tuple((words[label], count, target) for label, count, target in own))
+            own = zip(labels[first:last], counts[first:last], back[first:last])
+            states.append(tuple((words[label], count, number - steps) for label, count, steps in own))
             first = last
         return cls(states)
 
 
+def _narrow(values: list[int]) -> np.ndarray:
+    """Numbers from 0 in as few bytes each as the largest needs."""
+    return np.array(values, "<u8").astype(_number_kind(max(values, default=0)))
+
+
+def _packed(data: bytes) -> bytes:
+    return pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, "zstd", asbytes=True)
+
+
 def union(transducers: list[CountTransducer], min_count: int = 1) -> Iterator[tuple[Words, int]]:
     """Sequences of all transducers with summed counts, in ascending order."""
     for words, same in groupby(merge(*(t.entries() for t in transducers)), key=lambda entry: entry[0]):
@@ -304,7 +328,10 @@ def _bucket_batches(
     for start in range(0, len(used), 256):
         chosen = used[start : start + 256]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(chosen, pa.int32()), pa.array([blocks[k].tobytes() for k in chosen], pa.binary())],
+            [
+                pa.array(chosen, pa.int32()),
+                pa.array([_packed(blocks[k].tobytes()) for k in chosen], pa.binary()),
+            ],
             ["block", "counts"],
         )
 
@@ -326,7 +353,8 @@ def _reached_batches(batches: Iterator[pa.RecordBatch], min_count: int) -> Itera
                 if at is not None:
                     yield out()
                 at, total = block, np.zeros(BLOCK, np.int64)
-            total = np.minimum(total + np.frombuffer(counts, kind), min_count)
+            own = np.frombuffer(_unpacked(counts, BLOCK * kind.itemsize), kind)
+            total = np.minimum(total + own, min_count)
     if at is not None:
         yield out()
 
@@ -334,12 +362,17 @@ def _reached_batches(batches: Iterator[pa.RecordBatch], min_count: int) -> Itera
 def bucket_bits(chunks: DataFrame, longest: int, min_count: int) -> list[bytes]:
     """For each length the buckets that reached ``min_count``, one bit each.
 
-    A bit array has ``BUCKETS`` bits on the driver, whatever the corpus.
+    A bit array has ``BUCKETS`` bits on the driver, whatever the corpus.  Each task of a scan sends all
+    its counters, so there are no more tasks than keep the cores busy or ``COUNTED_BYTES`` of text asks for.
     """
+    context = chunks.sparkSession.sparkContext
+    text = chunks.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(2 * context.defaultParallelism, -(-text // COUNTED_BYTES))
+    scanned = chunks.select("hashes", "numbers").coalesce(tasks)
     found: list[bytes] = []
     for _ in range(longest):
-        sent = chunks.sparkSession.sparkContext.broadcast(list(found))
-        counted = chunks.select("hashes", "numbers").mapInArrow(
+        sent = context.broadcast(list(found))
+        counted = scanned.mapInArrow(
             partial(_bucket_batches, bits=sent, min_count=min_count), "block int, counts binary"
         )
         reached = (

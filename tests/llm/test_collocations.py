@@ -116,6 +116,30 @@ def test_chunks_of_several_languages_hold_whole_texts(monkeypatch):
     assert found == expected
 
 
+def test_counters_are_sent_by_few_tasks(spark, monkeypatch):
+    batch = pa.RecordBatch.from_pylist([{"text": "as we all know", "lang": "en"}])
+    (row,) = [row for own in c._chunk_batches(iter([batch])) for row in own.to_pylist()]
+    parallel = spark.sparkContext.defaultParallelism
+    tasks, counted = spark.sparkContext.accumulator(0), c._bucket_batches
+
+    def noted(batches, **options):
+        tasks.add(1)
+        return counted(batches, **options)
+
+    monkeypatch.setattr(c, "_bucket_batches", noted)
+    rows = [tuple(row[part.split()[0]] for part in c._CHUNKS.split(", "))] * 8 * parallel
+    chunks = spark.createDataFrame(rows, c._CHUNKS).repartition(8 * parallel)
+    found = c.bucket_bits(chunks, 1, 8 * parallel)
+    assert sum(bin(own).count("1") for own in found[0]) == 4
+    assert tasks.value <= 2 * parallel
+
+
+def test_pages_take_few_bytes_an_entry():
+    entries = [((b"%06d" % (k // 4), b"%06d" % (k % 1000)), 1 + k % 200) for k in range(2048)]
+    made = c.CountTransducer.from_sorted(sorted(entries))
+    assert len(made.to_bytes()) < 8 * len(entries)
+
+
 def test_a_phrase_in_most_texts_and_a_very_long_text(spark):
     rows = [("As we all know, this holds.", "en")] * 400 + [("As we all know. " * 20_000, "en")]
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(8)

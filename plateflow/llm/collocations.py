@@ -7,9 +7,9 @@ words n; the least counts.  Candidates that stand inside a longer one of the sam
 
 The method: weighted acyclic automata.  A shard, some MB of a language, sorts its n-grams and builds a
 count transducer from them in one pass: states of the path that the next n-gram leaves are closed and
-looked up in a register, so equal ones are shared; arcs carry words and counts.  Transducers are written
-as pages, cut at the boundaries of prefix ranges, and united range by range, a merge that sums the
-weights and builds anew.  The counts of parts come from composing sorted parts with their range's
+looked up in a register, so equal ones are shared; arcs carry words and counts.  Transducers are sent as
+compressed pages, cut at the boundaries of prefix ranges, and united range by range, a merge that sums
+the weights and builds anew.  The counts of parts come from composing sorted parts with their range's
 transducers, which walks shared beginnings once.
 
 Texts are split once: a first scan writes them as numbers of words, in chunks of about a MB of a language
@@ -23,8 +23,9 @@ are of the words themselves.  The number of buckets changes the cost and never t
 
 Distribution.  Counters and bits have fixed size, whatever the corpus (2 MB of bits a length, the only
 thing broadcast beside range boundaries).  A phrase in a third of all texts is one entry a shard.  Range
-boundaries come from page starts (from a sample of ``SAMPLE`` of them, if there are more), so a frequent
-first word is cut at its second; they balance the ranges and don't change what is counted.  Scores are
+boundaries come from where pages of a sample of chunks start (at most ``SAMPLE`` of these), so a frequent
+first word is cut at its second; they balance the ranges and don't change what is counted.  The sample's
+pages are built for that alone; all pages go straight into the shuffle, so that they are on disk once.  Scores are
 decimals of 38 digits, exact below 10^38.
 
 Defined results: a null text has no words, a null language is ``und``.  Repeated rows count each time.
@@ -40,6 +41,7 @@ from collections.abc import Iterable, Iterator
 from functools import partial
 from heapq import merge
 from itertools import groupby
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +77,9 @@ PAGE = 1 << 11
 RANGE = 1 << 17
 MAX_RANGES = 10_000
 SAMPLE = 50_000
+#: Chunks whose pages tell the ranges: at least so many, and at least this share of all.
+SAMPLED_CHUNKS = 64
+SAMPLED_SHARE = 1 / 64
 BOUNDARY_BYTES = 256
 TOP_SALTS = 64
 
@@ -239,7 +244,7 @@ def _numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return list(numbers), found
 
 
-_CHUNKS = "lang string, bytes bigint, words binary, hashes binary, numbers binary"
+_CHUNKS = "lang string, bytes bigint, n_words bigint, words binary, hashes binary, numbers binary"
 
 
 def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,9 +255,10 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def out(language: str) -> pa.RecordBatch:
         words, numbers = _numbered(waiting.pop(language))
         hashes = _word_hashes(language, words).astype("<u8").tobytes()
+        count = int(np.count_nonzero(numbers))
         numbers = numbers.astype(_number_kind(len(words))).tobytes()
-        row = (language, sizes.pop(language), b" ".join(words), hashes, numbers)
-        kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        row = (language, sizes.pop(language), count, b" ".join(words), hashes, numbers)
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         names = [part.split()[0] for part in _CHUNKS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
@@ -436,9 +442,9 @@ def _pages(entries: Iterator[tuple[Words, int]]) -> Iterator[tuple[bytes, bytes,
         yield out()
 
 
-_PAGES = "range int, lang string, first binary, last binary, entries bigint, words bigint, transducer binary"
+_PAGES = "range int, lang string, first binary, last binary, entries bigint, transducer binary"
 _PAGE_NAMES = [part.split()[0] for part in _PAGES.split(", ")]
-_PAGE_KINDS = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+_PAGE_KINDS = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
 
 
 def _page_rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -482,7 +488,7 @@ class _Shard:
 
 
 def _shard_batches(batches: Iterator[pa.RecordBatch], bits: Broadcast) -> Iterator[pa.RecordBatch]:
-    """The pages of each shard, after a row with its number of words."""
+    """The pages of each shard."""
     known = [np.frombuffer(own, np.uint8) for own in bits.value]
     shards: dict[str, _Shard] = {}
     held = 0
@@ -490,10 +496,8 @@ def _shard_batches(batches: Iterator[pa.RecordBatch], bits: Broadcast) -> Iterat
     def out(language: str) -> Iterator[pa.RecordBatch]:
         shard = shards.pop(language)
         words, ranks = shard.sorted_words()
-        yield _page_rows([(None, language, None, None, 0, int((ranks >= 0).sum()), None)])
         for page in _pages(_shard_entries(words, ranks, [np.concatenate(own) for own in zip(*shard.alive)])):
-            first, last, entries, data = page
-            yield _page_rows([(None, language, first, last, entries, 0, data)])
+            yield _page_rows([(None, language, *page)])
 
     for batch in batches:
         names = ("lang", "bytes", "words", "hashes", "numbers")
@@ -512,16 +516,33 @@ def _shard_batches(batches: Iterator[pa.RecordBatch], bits: Broadcast) -> Iterat
 Boundary = tuple[str, Words]
 
 
-def _boundaries(pages: DataFrame) -> list[Boundary]:
-    """Where prefix ranges of about ``RANGE`` entries begin, by language and words."""
+def _start_batches(batches: Iterator[pa.RecordBatch], bits: Broadcast) -> Iterator[pa.RecordBatch]:
+    for batch in _shard_batches(batches, bits):
+        yield batch.select(["lang", "first", "entries"])
+
+
+def _boundaries(chunks: DataFrame, bits: Broadcast) -> list[Boundary]:
+    """Where prefix ranges of about ``RANGE`` entries begin, by language and words.
+
+    The pages of some chunks tell; they are built for this alone, and only where they start is kept.
+    """
+    known = chunks.count()
+    share = min(1.0, max(SAMPLED_CHUNKS / max(known, 1), SAMPLED_SHARE))
+    some = chunks.sample(share, seed=1) if share < 1 else chunks
+    pages = materialise(
+        some.coalesce(2 * chunks.sparkSession.sparkContext.defaultParallelism)
+        .mapInArrow(partial(_start_batches, bits=bits), "lang string, first binary, entries bigint")
+        .withColumn("first", F.substring("first", 1, BOUNDARY_BYTES)),
+        "phrase-starts",
+    )
     size = pages.agg(F.count("*").alias("pages"), F.sum("entries").alias("entries")).first()
     if not size["pages"]:
         return []
-    starts = pages.select("lang", F.substring("first", 1, BOUNDARY_BYTES).alias("first"))
+    starts = pages.select("lang", "first")
     if size["pages"] > SAMPLE:
         starts = starts.sample(SAMPLE / size["pages"], seed=1)
     found = sorted((row["lang"], tuple(bytes(row["first"]).split(b" "))) for row in starts.collect())
-    ranges = min(MAX_RANGES, -(-size["entries"] // RANGE), len(found))
+    ranges = min(MAX_RANGES, ceil(size["entries"] / share / RANGE), len(found))
     return sorted({found[k * len(found) // ranges] for k in range(1, ranges)})
 
 
@@ -537,11 +558,17 @@ def _cut_batches(batches: Iterator[pa.RecordBatch], boundaries: Broadcast) -> It
         for language, first, last, entries, data in zip(*(batch.column(n).to_pylist() for n in names)):
             least, most = (place(language, tuple(key.split(b" "))) for key in (first, last))
             if least == most:
-                yield _page_rows([(least, language, first, last, entries, 0, data)])
+                yield _page_rows([(least, language, first, last, entries, data)])
                 continue
             own = CountTransducer.from_bytes(data).entries()
             for number, part in groupby(own, key=lambda entry: place(language, entry[0])):
-                yield _page_rows([(number, language, *page[:3], 0, page[3]) for page in _pages(part)])
+                yield _page_rows([(number, language, *page) for page in _pages(part)])
+
+
+def _cut_shard_batches(
+    batches: Iterator[pa.RecordBatch], bits: Broadcast, boundaries: Broadcast
+) -> Iterator[pa.RecordBatch]:
+    return _cut_batches(_shard_batches(batches, bits), boundaries)
 
 
 def _united_batches(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
@@ -550,7 +577,7 @@ def _united_batches(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterat
 
     def out() -> Iterator[pa.RecordBatch]:
         for page in _pages(union(own, min_count)):
-            yield _page_rows([(*at, *page[:3], 0, page[3])])
+            yield _page_rows([(*at, *page)])
 
     for batch in batches:
         for number, language, data in zip(*(batch.column(n).to_pylist() for n in ("range", "lang", "transducer"))):
@@ -660,13 +687,11 @@ def count_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_
     )
     chunks = materialise(texts.mapInArrow(_chunk_batches, _CHUNKS), "phrase-texts", **ROW_GROUPS)
     bits = context.broadcast(bucket_bits(chunks, longest, min_count))
-    shards = materialise(chunks.mapInArrow(partial(_shard_batches, bits=bits), _PAGES), "phrase-shards")
-    words = shards.groupBy("lang").agg(F.sum("words").alias("n"))
-    pages = shards.filter("entries > 0")
-    boundaries = _boundaries(pages)
+    words = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    boundaries = _boundaries(chunks, bits)
     sent = context.broadcast(boundaries)
     united = (
-        pages.mapInArrow(partial(_cut_batches, boundaries=sent), _PAGES)
+        chunks.mapInArrow(partial(_cut_shard_batches, bits=bits, boundaries=sent), _PAGES)
         .repartition("range")
         .sortWithinPartitions("range", "lang")
         .mapInArrow(partial(_united_batches, min_count=min_count), _PAGES)

@@ -140,6 +140,24 @@ def test_pages_take_few_bytes_an_entry():
     assert len(made.to_bytes()) < 8 * len(entries)
 
 
+@pytest.mark.parametrize("share", [0.1, 1e-9])
+def test_pages_are_written_once_and_ranges_come_from_a_sample(spark, monkeypatch, share):
+    written, write = [], c.materialise
+
+    def noted(df, name, **options):
+        written.append((name, "transducer" in df.columns))
+        return write(df, name, **options)
+
+    monkeypatch.setattr(c, "materialise", noted)
+    for name, value in {"SPLIT_BYTES": 200, "SHARD_BYTES": 500, "PAGE": 7, "RANGE": 20, "SAMPLED_CHUNKS": 0}.items():
+        monkeypatch.setattr(c, name, value)
+    monkeypatch.setattr(c, "SAMPLED_SHARE", share)
+    rows = some_rows(6, 120)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    assert as_results(c.collocations(docs, 5, 4)) == plain(rows, 5, 4)
+    assert [name for name, pages in written if pages] == ["phrase-counts"]
+
+
 def test_a_phrase_in_most_texts_and_a_very_long_text(spark):
     rows = [("As we all know, this holds.", "en")] * 400 + [("As we all know. " * 20_000, "en")]
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(8)

@@ -36,6 +36,7 @@ from plateflow.plans.sql_functions import register_table_functions
 from plateflow.plans.suite import read_report, refresh_report_tables, register_report_view, run_reports
 from plateflow.sources.catalog import create_event_table, payload_drift, read_event_table, sync_since
 from demo_tables import AS_OF, base_events, clickstream, derive_events, payload_lines
+from plateflow.sources.files import Folder
 from plateflow.sources.lake import (
     compact_hours,
     land_events,
@@ -65,6 +66,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Besides the default, a threshold that many five-minute windows of small data reach.
 LOW_ALARM_ERRORS = 2
+# Payloads in a delivered file at most.
+FILE_LINES = 20_000
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +78,14 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_lines(base_events(configure_session(spark), sf_dir))
 
 
+def _packed(lines: DataFrame):
+    """A writer of payload files that are compressed, and read by several tasks although they can't be split."""
+    return lines.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES)
+
+
 def _written_lines(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """The payload texts from files, for queries that deliver them several times."""
-    _lines(spark, sf_dir).select("value").write.text(path)
+    _packed(_lines(spark, sf_dir).select("value")).text(path)
     return spark.read.text(path)
 
 
@@ -338,9 +346,11 @@ def _stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = IngestTarget(f"{root}/events", f"{root}/rejects", f"{root}/checkpoint")
     lines = _written_lines(spark, sf_dir, f"{root}/lines")
     for _ in range(3):
-        lines.write.mode("append").text(f"{root}/payloads")
+        _packed(lines).mode("append").text(f"{root}/payloads")
         stream = read_payloads(spark, f"{root}/payloads", streaming=True)
         start_ingest(stream, target, available_now=True, dedup_within="2 hours").awaitTermination()
+        # The files of a delivery go once its batch is committed; the checkpoint has their names.
+        Folder(spark, f"{root}/payloads").delete()
     return read_events(spark, target.events).select("event_id", "price")
 
 

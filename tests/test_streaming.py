@@ -132,6 +132,78 @@ def test_ids_leave_the_state_after_the_delay(spark, tmp_path):
     assert hours == ["00", "10"] and query.lastProgress.stateOperators[0].numRowsTotal == 1
 
 
+def test_only_accepted_ids_are_in_the_state(spark, tmp_path):
+    source = add_file(tmp_path, "a.txt", TEXTS + TEXTS[:5] + ["junk"])
+    target = target_in(tmp_path)
+    query = ingest(spark, source, target, dedup_within="1 hour")
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 20
+    metrics = [p.observedMetrics["ingest"] for p in query.recentProgress if p.observedMetrics]
+    assert [sum(m[name] for m in metrics) for name in ("received", "accepted", "rejected")] == [28, 25, 3]
+    assert read_quarantine(spark, target.quarantine).count() == 3
+
+
+def test_rejects_move_the_watermark(spark, tmp_path):
+    target = target_in(tmp_path)
+    texts = {"a.txt": payload_text(event_id="e"), "b.txt": "junk", "c.txt": payload_text(event_id="e")}
+    for (name, text), hour in zip(texts.items(), (0, 9, 10)):
+        stamp = F.to_timestamp(F.lit(f"2024-03-01 {hour:02d}:00:00"))
+        ingest(spark, add_file(tmp_path, name, [text]), target, dedup_within="2 hours", now=stamp)
+    hours = sorted(r["hour"] for r in rows_of(read_events(spark, target.events).select("hour")))
+    assert hours == ["00", "10"]
+
+
+@pytest.mark.parametrize("options", [{}, {"dedup_within": "1 hour"}, {"dedup_hours": 1, "dedup_within": "1 hour"}])
+def test_streams_land_what_batches_land(spark, tmp_path, options):
+    """Whole rows in both sinks, whatever the stream leaves behind on its way."""
+    texts = [
+        payload_text(event_id="a", extra_null=None, nested={"x": [1, {"y": None}]}, ingested_at="1999"),
+        payload_text(event_id="b\u00e9 1", price="3.5"),
+        payload_text(event_id="c", note="n" * 300, price=-1),
+        payload_text(event_id="d", device_type="watch"),
+        '{"body": "[1]"}', "", "junk " + "j" * 400,
+    ]
+    stamp = F.to_timestamp(F.lit("2024-03-01 10:00:00"))
+    source = add_file(tmp_path, "a.txt", texts)
+    plain, streamed = target_in(tmp_path / "plain"), target_in(tmp_path / "streamed")
+    land_batch(plain)(validate_events(enrich(read_payloads(spark, source), stamp)), 0)
+    ingest(spark, source, streamed, now=stamp, **options)
+
+    def landed(target):
+        events = read_events(spark, target.events).withColumn("extra", F.to_json("extra"))
+        return [
+            sorted(map(str, rows_of(rows))) for rows in (events, read_quarantine(spark, target.quarantine))
+        ]
+
+    assert landed(streamed) == landed(plain)
+    assert [len(rows) for rows in landed(plain)] == [2, 5]
+
+
+def test_cached_and_shuffled_rows_are_slim(spark, tmp_path):
+    """No text of accepted rows, no payload of rejected ones, and excerpts are cut after the shuffle."""
+    batch = validate_events(enrich(read_payloads(spark, add_file(tmp_path, "a.txt", TEXTS))))
+    slim = ingest_module.landed_parts(batch)
+    assert slim.columns == batch.columns
+    assert slim.filter("status = 200 AND value <> ''").isEmpty()
+    rejected = slim.filter("status = 400")
+    assert rejected.filter("payload IS NOT NULL OR session_id IS NOT NULL").isEmpty()
+    assert sorted(r["value"] for r in rows_of(rejected.select("value"))) == ["junk", "{}"]
+
+
+def test_settings_for_disk_are_those_of_the_stream_only(spark, tmp_path, monkeypatch):
+    plain, seen = ingest_module.land_events, []
+    keys = list(ingest_module.DISK_SETTINGS)
+
+    def spying(rows, *args):
+        seen.append({key: rows.sparkSession.conf.get(key) for key in keys})
+        plain(rows, *args)
+
+    monkeypatch.setattr(ingest_module, "land_events", spying)
+    before = [spark.conf.get(key, None) for key in keys]
+    ingest(spark, add_file(tmp_path, "a.txt", TEXTS), target_in(tmp_path), dedup_within="1 hour")
+    assert seen and all(settings == ingest_module.DISK_SETTINGS for settings in seen)
+    assert [spark.conf.get(key, None) for key in keys] == before
+
+
 def test_batch_restarts_from_the_checkpoint_after_a_failed_sink(spark, tmp_path, monkeypatch):
     source = add_file(tmp_path, "a.txt", TEXTS)
     target = target_in(tmp_path)
@@ -220,6 +292,28 @@ def test_repeated_deliveries_derive_the_payloads_once(spark, sf_dir, monkeypatch
     assert path.endswith("/lines")
 
 
+def test_deliveries_are_compressed_and_go_once_committed(spark, sf_dir, tmp_path, monkeypatch):
+    import __spark_entry__
+
+    monkeypatch.setattr(__spark_entry__, "scratch_folder", lambda spark, name: str(tmp_path))
+    plain, delivered = __spark_entry__.start_ingest, []
+
+    def spying(*args, **options):
+        delivered.append([path.name for path in (tmp_path / "payloads").glob("part-*")])
+        return plain(*args, **options)
+
+    monkeypatch.setattr(__spark_entry__, "start_ingest", spying)
+    monkeypatch.setattr(__spark_entry__, "FILE_LINES", 300)
+    landed = __spark_entry__.queries()["stream_dedup_state"](spark, sf_dir).count()
+    payloads = spark.read.text(str(tmp_path / "lines")).count()
+    accepted = validate_events(spark.read.text(str(tmp_path / "lines"))).filter("status = 200").count()
+    assert landed == accepted
+    assert read_quarantine(spark, str(tmp_path / "rejects")).count() == 3 * (payloads - accepted)
+    assert len(delivered) == 3 and all(len(names) >= payloads // 300 for names in delivered)
+    assert all(name.endswith(".gz") for names in delivered for name in names)
+    assert not (tmp_path / "payloads").exists()
+
+
 def test_mean_duration_per_period(spark):
     listener = DurationListener()
     listener.record("q", "2024-03-01T00:00:01.000Z", 100)

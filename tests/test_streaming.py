@@ -132,11 +132,13 @@ def test_ids_leave_the_state_after_the_delay(spark, tmp_path):
     assert hours == ["00", "10"] and query.lastProgress.stateOperators[0].numRowsTotal == 1
 
 
-def test_only_accepted_ids_are_in_the_state(spark, tmp_path):
+def test_payloads_are_read_and_counted_once(spark, tmp_path):
+    """From one source, so that a stream goes on with the checkpoint it has."""
     source = add_file(tmp_path, "a.txt", TEXTS + TEXTS[:5] + ["junk"])
     target = target_in(tmp_path)
     query = ingest(spark, source, target, dedup_within="1 hour")
-    assert query.lastProgress.stateOperators[0].numRowsTotal == 20
+    assert all(len(progress.sources) == 1 for progress in query.recentProgress)
+    assert sum(progress.numInputRows for progress in query.recentProgress) == 28
     metrics = [p.observedMetrics["ingest"] for p in query.recentProgress if p.observedMetrics]
     assert [sum(m[name] for m in metrics) for name in ("received", "accepted", "rejected")] == [28, 25, 3]
     assert read_quarantine(spark, target.quarantine).count() == 3

@@ -181,7 +181,7 @@ def test_streams_land_what_batches_land(spark, tmp_path, options):
 
 
 def test_cached_and_shuffled_rows_are_slim(spark, tmp_path):
-    """No text of accepted rows, no payload of rejected ones, and excerpts are cut after the shuffle."""
+    """No text of accepted rows and no payload of rejected ones."""
     batch = validate_events(enrich(read_payloads(spark, add_file(tmp_path, "a.txt", TEXTS))))
     slim = ingest_module.landed_parts(batch)
     assert slim.columns == batch.columns
